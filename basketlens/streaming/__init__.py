@@ -1,0 +1,5 @@
+"""Intentionally empty: the workload is batch only.
+
+A "session" here is a key carried by the events, not a time gap, and nothing reads
+or writes a stream, so there is no stateful operator to provide.
+"""
