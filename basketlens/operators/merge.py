@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketlens.sources.writers import laid_out, overwrite_path
+
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df``, failing at run time if two rows share a key (NULL keys never match)."""
@@ -59,11 +61,7 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
 
 def rewrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the whole table at ``path`` with ``df``, which may itself read that table."""
-    staged = _staged(df, path)
-    writer = staged.repartition(*partition_by).write if partition_by else staged.write
-    writer.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by
-    ).parquet(path)
+    overwrite_path(_staged(df, path), path, partition_by)
 
 
 def upsert_partitions(
@@ -85,6 +83,6 @@ def upsert_partitions(
     touched = source.select(*partition_by).distinct()
     current = target.join(F.broadcast(touched), list(partition_by), "left_semi")
     merged = _staged(upsert(current, source, keys, update_when), path)
-    merged.repartition(*partition_by).write.mode("overwrite").option(
+    laid_out(merged, partition_by).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*partition_by).parquet(path)

@@ -1,8 +1,8 @@
 """Table and file sinks.
 
-Partitioned writes shuffle by the partition columns plus a spread number, so that one
-partition is written by few tasks (few, large files) and a partition holding most of the
-rows is still shared by ``spread`` tasks.
+Partitioned writes rebalance the rows by the partition columns: adaptive execution merges
+small partitions into one task and splits a partition that holds most of the rows, so
+files come out evenly sized whatever the distribution.
 """
 
 from __future__ import annotations
@@ -10,50 +10,35 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 HISTORY_PARTITIONS = ("PARTITIONYEAR", "PARTITIONMONTH", "PARTITIONDAY", "BATCHNUMBER")
 FACT_PARTITIONS = HISTORY_PARTITIONS[:3]
 
 
-def laid_out(df: DataFrame, partition_by: Sequence[str], spread: int = 1) -> DataFrame:
-    """Bring rows of one partition together, spread over up to ``spread`` tasks each.
-
-    The spread number is a hash of the row, so a repeated task writes the same rows.
-    """
-    if not partition_by:
-        return df
-    if spread <= 1:
-        return df.repartition(*partition_by)
-    number = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    return df.repartition(*[F.col(c) for c in partition_by], number)
+def laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def append_partitioned(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = HISTORY_PARTITIONS,
-    *,
-    spread: int = 64,
 ) -> None:
-    laid_out(df, partition_by, spread).write.mode("append").partitionBy(*partition_by).parquet(path)
+    laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def overwrite_path(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), *, spread: int = 64
-) -> None:
+def overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace everything at ``path``. ``df`` must not read from it (see ``rewrite_table``)."""
-    writer = laid_out(df, partition_by, spread).write.mode("overwrite")
+    writer = laid_out(df, partition_by).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
 def overwrite_table(
-    df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = (),
-    *, spread: int = 64,
+    df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()
 ) -> None:
     """Replace a catalog table, external if a path is given."""
-    writer = laid_out(df, partition_by, spread).write.mode("overwrite").format("parquet")
+    writer = laid_out(df, partition_by).write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)
     if partition_by:
