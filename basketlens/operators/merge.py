@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.sources.writers import laid_out, overwrite_path
 
+# Given the target's and the source's columns by name, decides whether to update.
+Condition = Callable[[Mapping[str, Column], Mapping[str, Column]], Column]
+
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df``, failing at run time if two rows share a key (NULL keys never match)."""
@@ -22,7 +25,7 @@ def upsert(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
-    update_when: Callable[[DataFrame, DataFrame], Column] | None = None,
+    update_when: Condition | None = None,
 ) -> DataFrame:
     """Update matched rows, insert the others, keep the rest of the target.
 
@@ -34,11 +37,13 @@ def upsert(
     if update_when is None:
         return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
     # One full join: a row is matched when both markers are set.
-    t = target.withColumn("__t", F.lit(True))
-    s = source.withColumn("__s", F.lit(True))
-    on = [t[k] == s[k] for k in keys]
+    t = {c: F.col(f"t.{c}") for c in [*target.columns, "__t"]}
+    s = {c: F.col(f"s.{c}") for c in [*target.columns, "__s"]}
+    joined = target.withColumn("__t", F.lit(True)).alias("t").join(
+        source.withColumn("__s", F.lit(True)).alias("s"), [t[k] == s[k] for k in keys], "full"
+    )
     take_source = t["__t"].isNull() | (s["__s"] & update_when(t, s))
-    return t.join(s, on, "full").select(
+    return joined.select(
         *[F.when(take_source, s[c]).otherwise(t[c]).alias(c) for c in target.columns]
     )
 
@@ -70,7 +75,7 @@ def upsert_partitions(
     source: DataFrame,
     keys: Sequence[str],
     partition_by: Sequence[str],
-    update_when: Callable[[DataFrame, DataFrame], Column] | None = None,
+    update_when: Condition | None = None,
 ) -> None:
     """Upsert into a table at ``path``, rewriting only the partitions the source touches.
 
