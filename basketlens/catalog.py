@@ -18,7 +18,7 @@ from basketlens.operators import merge, quality
 from basketlens.operators.ordering import keep_latest, latest_batch
 from basketlens.plans import dimensions, facts, forecast, history, rfm, weekly
 from basketlens.schemas import DQ_DDL
-from basketlens.session import configure, scratch_path
+from basketlens.session import configure, scratch_path, stored
 from basketlens.sources import readers, testdata, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,9 +206,13 @@ def shared_session_baskets(spark, sf_dir):
     return comparable(rfm.session_baskets(fact), 2)
 
 
+def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.user_values(stored(rfm.user_totals(testdata.events_as_fact(spark, sf_dir)), "users"))
+
+
 @query
 def rfm_users(spark, sf_dir):
-    return comparable(rfm.user_values(testdata.events_as_fact(spark, sf_dir)))
+    return comparable(_users(spark, sf_dir))
 
 
 @query
@@ -219,7 +223,7 @@ def rfm_segments(spark, sf_dir):
 
 @query
 def rfm_quartiles(spark, sf_dir):
-    users = rfm.user_values(testdata.events_as_fact(spark, sf_dir))
+    users = _users(spark, sf_dir)
     cuts = rfm.rfm_quartiles(users)
     return cuts.select(
         *[
@@ -232,7 +236,7 @@ def rfm_quartiles(spark, sf_dir):
 
 @query
 def rfm_quartiles_approx(spark, sf_dir):
-    users = rfm.user_values(testdata.events_as_fact(spark, sf_dir))
+    users = _users(spark, sf_dir)
     return rfm.rfm_quartiles(users, rel_error=0.01)
 
 
@@ -661,7 +665,7 @@ def latest_event_per_user(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From raw events to customer segments: history, behaviour fact, segmentation."""
     log = testdata.behaviour_log(configure(spark), sf_dir)
-    fact = facts.fact_behaviour_log(log, ETL_TS, latest_only=False)
+    fact = stored(facts.fact_behaviour_log(log, ETL_TS, latest_only=False), "fact")
     return rfm.rfm(fact, ETL_TS)
 
 

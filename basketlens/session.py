@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,3 +35,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/basketlens-{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back.
+
+    For a result that several later steps scan: it is computed once, the plans after it
+    start from files, and a lost executor costs only the files' readers a retry.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
