@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketlens.session import stored
 from basketlens.sources.writers import laid_out, overwrite_path
 
 # Given the target's and the source's columns by name, decides whether to update.
@@ -82,8 +83,10 @@ def upsert_partitions(
     Only for tables whose keys determine the partition (an event time and its date), so a
     row can never move to another partition; otherwise ``rewrite_table(upsert(...))``.
     The touched partitions are found by a semi join on the partition columns alone, which
-    prunes the target scan.
+    prunes the target scan. The source is stored first because the check of its keys, the
+    list of partitions and the merge all read it.
     """
+    source = stored(source, "upsert-source")
     target = spark.read.schema(source.schema).parquet(path)
     touched = source.select(*partition_by).distinct()
     current = target.join(F.broadcast(touched), list(partition_by), "left_semi")

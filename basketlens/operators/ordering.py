@@ -43,23 +43,31 @@ def running_total(
     out: str,
     *,
     spread_by: Column,
+    sizes_from: DataFrame | None = None,
     hot_rows: int = 1_000_000,
     hot_keys: int = 10_000,
 ) -> DataFrame:
     """Running sum of ``weight`` within ``keys`` following ``order``.
 
     Keys must not be NULL and ``order`` must start with something that ``spread_by``
-    rounds down. An ordinary key is one window group. A key is hot when it has more than
-    ``hot_rows`` rows and more than 1/``hot_keys`` of all rows: its rows are spread over
-    one window group per ``spread_by`` value and the totals of the groups before are added
-    afterwards. By that second rule at most ``hot_keys`` keys can be hot, which is the
-    bound on the one broadcast below; totals per group are pre-aggregated and joined by
-    shuffle.
+    rounds down. An ordinary key is one window group. The ``hot_keys`` largest keys among
+    those with more than ``hot_rows`` rows are spread over one window group per
+    ``spread_by`` value, and the totals of the groups before are added afterwards; any
+    further key then has at most 1/``hot_keys`` of all rows. ``hot_keys`` is also the bound
+    on the one broadcast below. Totals per group are pre-aggregated and joined by shuffle.
+
+    Keys are sized by counting ``sizes_from``, a frame with at least the rows of ``df``;
+    give the input of an aggregate that ``df`` is the output of, so that sizing takes a
+    scan of the keys instead of a second run of that aggregate.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    share = sizes.agg(F.sum("__rows")).scalar() / F.lit(hot_keys)
-    hot = sizes.where(F.col("__rows") > F.greatest(F.lit(float(hot_rows)), share)).select(
-        *keys, F.lit(True).alias("__hot")
+    hot = (
+        (df if sizes_from is None else sizes_from)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") > hot_rows)
+        .orderBy(F.desc("__rows"), *keys)
+        .limit(hot_keys)
+        .select(*keys, F.lit(True).alias("__hot"))
     )
     tagged = df.join(F.broadcast(hot), list(keys), "left").withColumn(
         "__segment", F.when(F.col("__hot"), spread_by)
@@ -69,14 +77,18 @@ def running_total(
     before = Window.partitionBy(*keys).orderBy("__segment").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    total = F.sum(weight).over(inside)
+    # Totals come from numbered rows as well: needing the same columns of ``df`` as the main
+    # branch, they share its shuffle and only the rows of hot keys are moved once more.
     offsets = (
         tagged.where("__hot")
+        .withColumn("__total", total)
         .groupBy(*segment)
-        .agg(F.sum(weight).alias("__total"))
+        .agg(F.max("__total").alias("__total"))
         .select(*segment, F.sum("__total").over(before).alias("__before"))
     )
     return (
-        tagged.withColumn(out, F.sum(weight).over(inside))
+        tagged.withColumn(out, total)
         .join(offsets, segment, "left")
         .withColumn(out, F.col(out) + F.coalesce("__before", F.lit(0)))
         .drop("__hot", "__segment", "__before")

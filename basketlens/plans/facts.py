@@ -72,6 +72,7 @@ def action_sequence(events: DataFrame, *, hot_rows: int = 1_000_000) -> DataFram
         "COPIES",
         "LAST",
         spread_by=F.date_trunc("second", "EVENT_TIME"),
+        sizes_from=events,
         hot_rows=hot_rows,
     )
     return repeat_rows(numbered, "COPIES", "LAST", "ACTION_ITEMS", keys=SESSION).select(
