@@ -18,6 +18,7 @@ from basketlens.operators.quality import no_null
 SESSION = ["USER_ID", "USER_SESSION"]
 FACT_KEY = ["EVENT_DATETIME", "EVENT_TYPE", "USER_ID", "USER_SESSION", "ACTION_ITEMS"]
 ACTION_KEY = ["EVENT_TIME", "EVENT_TYPE", "USER_ID", "ACTION_ITEMS"]
+TIE_BREAK = ["USER_SESSION", "PRODUCT_ID", "PRICE"]
 _RAW = ["EVENT_TIME", "EVENT_TYPE", "PRODUCT_ID", "PRICE", *SESSION]
 _ORDER = ["EVENT_TIME", "EVENT_TYPE", "PRODUCT_ID", "PRICE"]
 
@@ -85,19 +86,10 @@ def drop_unpaid_purchases():
     return (F.col("EVENT_TYPE") != "purchase") | (F.col("PRICE") > 0)
 
 
-def fact_behaviour_log(
-    history: DataFrame,
-    etl_ts: str,
-    *,
-    branch: str = "America",
-    latest_only: bool = True,
-    hot_rows: int = 1_000_000,
-) -> DataFrame:
-    """Cleaned, numbered and keyed events."""
-    events = action_sequence(usable_events(history, latest_only), hot_rows=hot_rows)
-    unique = keep_latest(events, ACTION_KEY, "EVENT_TIME", ["USER_SESSION", "PRODUCT_ID", "PRICE"])
+def keyed_events(events: DataFrame, etl_ts: str, *, branch: str = "America") -> DataFrame:
+    """Numbered events as fact rows: keys, date parts, unpaid purchases dropped."""
     key = piped("EVENT_TIME", "EVENT_TYPE", "PRODUCT_ID", *SESSION, "ACTION_ITEMS")
-    fact = unique.where(drop_unpaid_purchases()).select(
+    fact = events.where(drop_unpaid_purchases()).select(
         surrogate_key(key).alias("BEHAVIOUR_KEY"),
         surrogate_key("PRODUCT_ID").alias("PRODUCT_ID_FK"),
         F.col("EVENT_TIME").alias("EVENT_DATETIME"),
@@ -116,6 +108,20 @@ def fact_behaviour_log(
     )
 
 
+def fact_behaviour_log(
+    history: DataFrame,
+    etl_ts: str,
+    *,
+    branch: str = "America",
+    latest_only: bool = True,
+    hot_rows: int = 1_000_000,
+) -> DataFrame:
+    """Cleaned, numbered and keyed events."""
+    events = action_sequence(usable_events(history, latest_only), hot_rows=hot_rows)
+    unique = keep_latest(events, ACTION_KEY, "EVENT_TIME", TIE_BREAK)
+    return keyed_events(unique, etl_ts, branch=branch)
+
+
 def usable_targets(history: DataFrame) -> DataFrame:
     """Trimmed targets of the latest batch with a country and a month."""
     return trim_strings(latest_batch(history)).where(no_null(["COUNTRY", "YEARMONTH"]))
