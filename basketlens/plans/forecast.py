@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -86,13 +87,19 @@ def _draws(estimator: Estimator, space: Mapping[str, Sequence], search: Search)
             space[name] = [search.trees]
     if search.depth is not None:
         space["maxDepth"] = [search.depth]
-    rng = random.Random(search.seed)
-    drawn: list[dict] = []
-    for _ in range(search.draws):
-        settings = {name: rng.choice(list(values)) for name, values in space.items()}
-        if settings not in drawn:
-            drawn.append(settings)
-    return [{estimator.getParam(n): v for n, v in settings.items()} for settings in drawn]
+    # Combinations are numbered, so that drawing distinct numbers draws without replacement.
+    combinations = math.prod(len(values) for values in space.values())
+    numbers = random.Random(search.seed).sample(
+        range(combinations), min(search.draws, combinations)
+    )
+    drawn = []
+    for number in numbers:
+        settings = {}
+        for name, values in space.items():
+            number, choice = divmod(number, len(values))
+            settings[estimator.getParam(name)] = values[choice]
+        drawn.append(settings)
+    return drawn
 
 
 def _rmse(label: str = LABEL, prediction: str = "prediction") -> RegressionEvaluator:
