@@ -70,6 +70,13 @@ def rewrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     overwrite_path(_staged(df, path), path, partition_by)
 
 
+def rewrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that occur in ``df``; the others stay as they are."""
+    laid_out(_staged(df, path), partition_by).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*partition_by).parquet(path)
+
+
 def upsert_partitions(
     spark: SparkSession,
     path: str,
@@ -88,9 +95,7 @@ def upsert_partitions(
     """
     source = stored(source, "upsert-source")
     target = spark.read.schema(source.schema).parquet(path)
+    # One row per partition of the source, such as the days of a batch: safe to broadcast.
     touched = source.select(*partition_by).distinct()
     current = target.join(F.broadcast(touched), list(partition_by), "left_semi")
-    merged = _staged(upsert(current, source, keys, update_when), path)
-    laid_out(merged, partition_by).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*partition_by).parquet(path)
+    rewrite_partitions(upsert(current, source, keys, update_when), path, partition_by)

@@ -25,6 +25,7 @@ from basketlens.plans.weekly import (
     time_split,
     weekly_demand,
 )
+from basketlens.session import stored
 
 LABEL = "SALES_OCCURRENCE"
 
@@ -200,11 +201,11 @@ def forecast(
 ) -> DataFrame:
     """Predictions of the test week. ``features`` are raw counts (``raw_features``).
 
-    The weekly rows, one per product and week, are kept for the many fits of the search;
-    they are small next to the events and are recomputed if an executor is lost.
+    The weekly rows, one per product and week, are stored for the many fits of the search,
+    so that neither a fit nor a lost executor goes back to the events.
     """
     split = time_split(features, train_weeks, last_n).withColumn("ACTUAL_SALES", F.col(LABEL))
-    rows = with_vectors(log_counts(split)).persist()
+    rows = stored(with_vectors(log_counts(split)), "vectors")
     train = rows.where("SPLIT = 'train'")
     scored = rows.where("SPLIT = 'test'")
     for name in models:
@@ -262,7 +263,7 @@ def sales_prediction(
     **split,
 ) -> DataFrame:
     """Features, elasticity, three forecasts and the resulting table, from weekly events."""
-    features = raw_features(events, products)
+    features = stored(raw_features(events, products), "features")
     scored = forecast(features, search=search, **split)
     elasticity = elasticity_controlled(weekly_demand(events), products)
     return prediction_table(features, scored, elasticity)

@@ -38,7 +38,7 @@ class Lake:
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         for name in (LEDGER, AUDIT):
-            writers.ensure_path(spark, schemas.schema(name), self.path(name))
+            self.ensure(name)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -60,12 +60,15 @@ class Lake:
     def start(self, item: str, run: Run) -> int:
         batch = lg.next_batch_id(self.table(LEDGER), item).first()["batchID"]
         row = lg.open_row(self.spark, batch, run.date, run.run_ts, item)
-        row.write.mode("append").parquet(self.path(LEDGER))
+        writers.append_partitioned(row, self.path(LEDGER), schemas.PARTITIONING[LEDGER])
         return batch
 
     def finish(self, item: str, batch: int) -> None:
-        done = lg.complete_batch(self.table(LEDGER), item, batch)
-        merge.rewrite_table(done, self.path(LEDGER))
+        runs = self.table(LEDGER).where(F.col("item") == item)
+        self.update_ledger(lg.complete_batch(runs, item, batch))
+
+    def update_ledger(self, rows: DataFrame) -> None:
+        merge.rewrite_partitions(rows, self.path(LEDGER), schemas.PARTITIONING[LEDGER])
 
     def ready(self, items: Sequence[str]) -> bool:
         return not items or lg.gate(self.table(LEDGER), items).first()["passed"]
@@ -97,43 +100,47 @@ def open_batch(lake: Lake, run: Run) -> int:
 
 
 def close_batch(lake: Lake) -> None:
-    merge.rewrite_table(lg.close_batch(lake.table(LEDGER)), lake.path(LEDGER))
-
+    closed = lg.close_batch(lake.table(LEDGER))
+    lake.update_ledger(closed.where(F.col("item") == lg.START))
 
-def _land(lake: Lake, run: Run, batch: int, item: str, path: str, kind: str) -> DataFrame | None:
-    """The landed rows, stored so that they are counted and used in one reading."""
-    source = readers.read_source(lake.spark, path, kind)
-    rows = None if source.rows is None else stored(source.rows, "landed")
-    audit = readers.audit_row(
-        lake.spark, batch=batch, date=run.date, start_time=run.run_ts, item=item,
-        file=path.rstrip("/").rsplit("/", 1)[-1], count=source.counted,
-    )
-    audit.write.mode("append").parquet(lake.path(AUDIT))
-    return rows if source.counted else None
 
+def _land(
+    lake: Lake,
+    run: Run,
+    item: str,
+    table: str,
+    path: str,
+    kind: str,
+    shape: Callable[[DataFrame, int], DataFrame],
+) -> bool:
+    """Append a landed source to its history table, counting it while it is written."""
 
-def land_behaviour_log(lake: Lake, run: Run, path: str, kind: str = "csv") -> bool:
     def work(batch: int) -> bool:
-        rows = _land(lake, run, batch, "hist_behaviour_log", path, kind)
-        if rows is None:
-            return False
-        log = history.hist_behaviour_log(rows, batch)
-        writers.append_partitioned(log, lake.path("history.behaviour_log"))
-        return True
+        source = readers.read_source(lake.spark, path, kind)
+        if source.rows is not None:
+            writers.append_partitioned(shape(source.rows, batch), lake.path(table))
+        audit = readers.audit_row(
+            lake.spark, batch=batch, date=run.date, start_time=run.run_ts, item=item,
+            file=path.rstrip("/").rsplit("/", 1)[-1], count=source.counted,
+        )
+        audit.write.mode("append").parquet(lake.path(AUDIT))
+        return bool(source.counted)
 
-    return _job(lake, run, "hist_behaviour_log", [], work)
+    return _job(lake, run, item, [], work)
 
 
-def land_sales_target(lake: Lake, run: Run, path: str, kind: str = "csv") -> bool:
-    def work(batch: int) -> bool:
-        rows = _land(lake, run, batch, "hist_sales_target", path, kind)
-        if rows is None:
-            return False
-        targets = history.hist_sales_target(rows, batch, run.run_ts[:10])
-        writers.append_partitioned(targets, lake.path("history.sales_target"))
-        return True
+def land_behaviour_log(lake: Lake, run: Run, path: str, kind: str = "csv") -> bool:
+    return _land(
+        lake, run, "hist_behaviour_log", "history.behaviour_log", path, kind,
+        history.hist_behaviour_log,
+    )
+
 
-    return _job(lake, run, "hist_sales_target", [], work)
+def land_sales_target(lake: Lake, run: Run, path: str, kind: str = "csv") -> bool:
+    return _land(
+        lake, run, "hist_sales_target", "history.sales_target", path, kind,
+        lambda rows, batch: history.hist_sales_target(rows, batch, run.run_ts[:10]),
+    )
 
 
 def build_dim_date(lake: Lake, run: Run) -> bool:

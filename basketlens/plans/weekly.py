@@ -33,9 +33,13 @@ FEATURES = [*LAG_FEATURES, *RATIO_FEATURES]
 
 
 def with_weeks(fact: DataFrame) -> DataFrame:
-    """Add ISO WEEK_NUMBER, YEAR and WEEK_NUMBER_CYCLE (1 = first year seen, then 2)."""
+    """Add ISO WEEK_NUMBER, YEAR and WEEK_NUMBER_CYCLE (1 = first year seen, then 2).
+
+    On the stored fact the first year comes from the partition column, without reading data.
+    """
     day = F.col("EVENT_DATE").cast("date")
-    first_year = fact.agg(F.min(F.year(day))).scalar()
+    year = F.col("PARTITIONYEAR") if "PARTITIONYEAR" in fact.columns else F.year(day)
+    first_year = fact.agg(F.min(year)).scalar()
     return fact.withColumns(
         {
             "WEEK_NUMBER": F.weekofyear(day),
