@@ -439,6 +439,18 @@ def elasticity_controlled(spark, sf_dir):
     return comparable(weekly.elasticity_controlled(demand))
 
 
+@query
+def top_products(spark, sf_dir):
+    return weekly.top_products(_weeks(spark, sf_dir), 10)
+
+
+@query
+def top_product_features(spark, sf_dir):
+    """The feature matrix of the ten best-selling products only."""
+    events = _weeks(spark, sf_dir)
+    return comparable(weekly.feature_matrix(events, weekly.top_products(events, 10)))
+
+
 def _perspective(kind: str) -> Query:
     return lambda spark, sf_dir: comparable(
         weekly.perspective_features(_weeks(spark, sf_dir), kind)

@@ -199,6 +199,9 @@ _VIEWS |= {
     "views": _perspective("view", "VIEW_COUNT", "VIEW_CNT", "fact_weeks"),
     "carts": _perspective("cart", "CART_COUNT", "CART_CNT", "fact_weeks"),
     "features": _features(),
+    "top10": """
+  SELECT PRODUCT_ID, count(*) AS PURCHASES FROM fact WHERE EVENT_TYPE = 'purchase'
+  GROUP BY PRODUCT_ID ORDER BY PURCHASES DESC, PRODUCT_ID LIMIT 10""",
     "last_week": """
   SELECT max((WEEK_NUMBER_CYCLE, WEEK_NUMBER)) AS w FROM purchases""",
     # Slope of ln sales on ln price with its standard error.
@@ -505,6 +508,9 @@ SELECT PRODUCT_ID, WEEK_NUMBER, DAYS_PURCHASED, round(AVG_PRICE + 1e-7, 4) AS AV
     "view_features": _perspective_out("views", "view"),
     "cart_features": _perspective_out("carts", "cart"),
     "feature_matrix": _features_out(),
+    "top_products": "SELECT * FROM top10",
+    "top_product_features": _features_out()
+    + " WHERE PRODUCT_ID IN (SELECT PRODUCT_ID FROM top10)",
     "time_split": """
 SELECT PRODUCT_ID, WEEK_NUMBER_CYCLE, WEEK_NUMBER,
   CASE WHEN (WEEK_NUMBER_CYCLE, WEEK_NUMBER) = w THEN 'test' ELSE 'train' END AS SPLIT

@@ -19,6 +19,7 @@ from basketlens.plans.weekly import (
     CELL,
     FEATURES,
     WEEK,
+    Products,
     elasticity_controlled,
     log_counts,
     raw_features,
@@ -258,7 +259,7 @@ def prediction_table(features: DataFrame, scored: DataFrame, elasticity: DataFra
 
 def sales_prediction(
     events: DataFrame,
-    products: Sequence[str] | None = None,
+    products: Products = None,
     search: Search = Search(),
     **split,
 ) -> DataFrame:

@@ -253,7 +253,7 @@ def analyse_rfm(lake: Lake, run: Run, rel_error: float | None = None) -> bool:
 def predict_sales(
     lake: Lake,
     run: Run,
-    products: Sequence[str] | None = None,
+    products: weekly.Products = None,
     search: forecast.Search = forecast.Search(),
     **split,
 ) -> bool:

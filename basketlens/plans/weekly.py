@@ -49,8 +49,27 @@ def with_weeks(fact: DataFrame) -> DataFrame:
     )
 
 
-def _only(df: DataFrame, products: Sequence[str] | None) -> DataFrame:
-    return df if products is None else df.where(F.col("PRODUCT_ID").isin(list(products)))
+def top_products(events: DataFrame, k: int) -> DataFrame:
+    """The k products with most purchases, ids ascending among equals."""
+    return (
+        events.where(F.col("EVENT_TYPE") == "purchase")
+        .groupBy("PRODUCT_ID")
+        .agg(F.count(F.lit(1)).alias("PURCHASES"))
+        .orderBy(F.desc("PURCHASES"), "PRODUCT_ID")
+        .limit(k)
+    )
+
+
+# Products to analyse: all, a list of ids, or a frame with a PRODUCT_ID column.
+Products = Sequence[str] | DataFrame | None
+
+
+def _only(df: DataFrame, products: Products) -> DataFrame:
+    if products is None:
+        return df
+    if isinstance(products, DataFrame):
+        return df.join(products.select("PRODUCT_ID"), "PRODUCT_ID", "left_semi")
+    return df.where(F.col("PRODUCT_ID").isin(list(products)))
 
 
 def weekly_sales(events: DataFrame, by_cycle: bool = False) -> DataFrame:
@@ -103,7 +122,7 @@ def weekly_demand(events: DataFrame, by_cycle: bool = False) -> DataFrame:
     return with_previous_week(weekly_sales(events, by_cycle)).na.drop()
 
 
-def elasticity_simple(demand: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
+def elasticity_simple(demand: DataFrame, products: Products = None) -> DataFrame:
     """Per product: slope of ln sales on ln price, R2 and p-value."""
     fit = fit_line(_only(demand, products), "PRODUCT_ID", F.ln("SALES"), F.ln("AVG_PRICE"))
     return fit.select(
@@ -115,7 +134,7 @@ def elasticity_simple(demand: DataFrame, products: Sequence[str] | None = None)
 
 
 def elasticity_controlled(
-    demand: DataFrame, products: Sequence[str] | None = None, *, charged_predictors: int = 3
+    demand: DataFrame, products: Products = None, *, charged_predictors: int = 3
 ) -> DataFrame:
     """Price slope with the previous week's sales and price held fixed."""
     fit = fit_plane(
@@ -137,7 +156,7 @@ def elasticity_controlled(
     )
 
 
-def weekly_counts(events: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
+def weekly_counts(events: DataFrame, products: Products = None) -> DataFrame:
     """Purchases, views, carts and mean purchase price per product and week, in one pass."""
     kinds = list(PERSPECTIVES)
     counts = [
@@ -170,7 +189,7 @@ def _rolling(count: str, stem: str) -> dict[str, Column]:
 
 
 def perspective_features(
-    events: DataFrame, kind: str, products: Sequence[str] | None = None
+    events: DataFrame, kind: str, products: Products = None
 ) -> DataFrame:
     """Weekly count of one kind of event with its rolling sums (price for purchases)."""
     count, stem = PERSPECTIVES[kind]
@@ -179,7 +198,7 @@ def perspective_features(
     return weekly.withColumns(_rolling(count, stem))
 
 
-def raw_features(events: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
+def raw_features(events: DataFrame, products: Products = None) -> DataFrame:
     """Weeks with purchases, with the rolling sums of all three kinds and their ratios.
 
     One aggregate and one shuffle by product feed all nine rolling sums: each kind rolls
@@ -203,7 +222,7 @@ def log_counts(features: DataFrame) -> DataFrame:
     )
 
 
-def feature_matrix(events: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
+def feature_matrix(events: DataFrame, products: Products = None) -> DataFrame:
     """Log counts and ratios per product and week with purchases."""
     return log_counts(raw_features(events, products)).select(*CELL, "SALES_OCCURRENCE", *FEATURES)
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -18,6 +19,7 @@ def session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="basketlens-warehouse-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

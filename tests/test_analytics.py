@@ -320,3 +320,33 @@ def test_time_split(spark):
 def test_product_filter(spark):
     df = weekly_events(spark, [("2020-01-06", "purchase", p, 1.0) for p in "pqr"])
     assert {r["PRODUCT_ID"] for r in weekly.feature_matrix(df, ["p", "q"]).collect()} == {"p", "q"}
+
+
+def test_top_products_settle_ties_by_id(spark):
+    df = weekly_events(spark, [("2020-01-06", k, p, 1.0) for k, p in [("purchase", "b"), ("purchase", "a"), ("purchase", "c"), ("purchase", "c"), ("view", "z")]])
+    top = weekly.top_products(df, 2)
+    assert [tuple(r) for r in top.collect()] == [("c", 2), ("a", 1)]
+    assert {r["PRODUCT_ID"] for r in weekly.feature_matrix(df, top).collect()} == {"a", "c"}
+
+
+# --- what reaches the scan ---------------------------------------------------------------
+
+
+def test_stored_fact_is_filtered_and_pruned_at_the_scan(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    df = spark.createDataFrame(
+        [("2020-01-06 10:00:00", "purchase", "p", 1.0, "u", "s", 2020, "x"), ("2021-01-06 10:00:00", "view", "p", 1.0, "u", "s", 2021, "x")],
+        "EVENT_DATETIME string, EVENT_TYPE string, PRODUCT_ID string, PRICE double, USER_ID string, USER_SESSION string, PARTITIONYEAR int, OTHER string",
+    ).withColumns({"EVENT_DATETIME": F.col("EVENT_DATETIME").cast("timestamp"), "EVENT_DATE": F.substring("EVENT_DATETIME", 1, 10)})
+    df.write.partitionBy("PARTITIONYEAR").parquet(path)
+    fact = spark.read.parquet(path)
+
+    text = rfm.user_totals(fact)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(EVENT_TYPE,purchase)" in text
+    assert "PRODUCT_ID" not in text and "OTHER" not in text
+    weeks = weekly.with_weeks(fact)
+    text = weekly.weekly_sales(weeks)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(EVENT_TYPE,purchase)" in text and "OTHER" not in text
+    # The first year is read from the partition folders alone.
+    assert "ReadSchema: struct<>" in weeks._jdf.queryExecution().executedPlan().toString()
+    assert {(r["WEEK_NUMBER_CYCLE"], r["WEEK_NUMBER"]) for r in weeks.collect()} == {(1, 2), (2, 1)}

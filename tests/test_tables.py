@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from basketlens import schemas
 from basketlens.operators import merge, quality
 from basketlens.sources import readers, writers
 
@@ -201,3 +202,35 @@ def test_ensure_path_creates_an_empty_partitioned_table_once(spark, tmp_path):
     writers.append_partitioned(spark.createDataFrame([(1, 2)], schema), path, ["d"])
     writers.ensure_path(spark, schema, path, ["d"])
     assert spark.read.parquet(path).count() == 1
+
+
+def test_all_tables_can_be_created_and_filled(spark, tmp_path):
+    schemas.create_tables(spark, str(tmp_path))
+    for name, parts in schemas.PARTITIONING.items():
+        stored = spark.table(name)
+        assert stored.isEmpty()
+        assert sorted(stored.columns) == sorted(schemas.schema(name).names)
+        columns = [r["name"] for r in [c._asdict() for c in spark.catalog.listColumns(name)] if r["isPartition"]]
+        assert columns == list(parts)
+    path = str(tmp_path / "history" / "sales_target")
+    row = spark.createDataFrame([("US", 202001, 1.0, 1, 2020, 1, 1)], schemas.schema("history.sales_target"))
+    writers.append_partitioned(row, path)
+    assert spark.read.parquet(path).count() == 1
+    for name in schemas.PARTITIONING:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_scratch_folder_follows_the_session(spark, monkeypatch):
+    from basketlens.session import scratch_path
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Fake:
+        conf = Conf({"spark.master": "spark://x", "spark.checkpoint.dir": "hdfs://shared/dir/"})
+
+    assert scratch_path(Fake, "n").startswith("hdfs://shared/dir/basketlens-n-")
+    Fake.conf = Conf({"spark.master": "spark://x"})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Fake, "n")
