@@ -101,7 +101,9 @@ def repeat_rows(
     """Each row ``copies`` times, numbered up to ``last`` in ``out``.
 
     Rows standing for more than ``block`` copies are first cut into blocks that are spread
-    over the cluster, so neither one array nor one task holds all copies of a hot row.
+    over the cluster, so neither one array nor one task holds all copies of a hot row. Only
+    those blocks are shuffled; all other rows are written out where they are, and a grouping
+    that follows still gets to pre-aggregate them before its own shuffle.
     """
     first = F.col(last) - F.col(copies) + 1
     plain = df.where(F.col(copies) <= block).withColumn(out, F.explode(F.sequence(first, last)))
