@@ -75,7 +75,11 @@ def _only(df: DataFrame, products: Products) -> DataFrame:
 def weekly_sales(events: DataFrame, by_cycle: bool = False) -> DataFrame:
     """Per product and week: days with a purchase, mean of daily mean prices, sales scaled
     to seven days. Equal week numbers of different years fall together unless
-    ``by_cycle``."""
+    ``by_cycle``.
+
+    The daily rows, at most one per product and calendar day, are laid out by product; the
+    weeks, the look-back and the regressions over them then need no further shuffle.
+    """
     week = WEEK if by_cycle else ["WEEK_NUMBER"]
     purchases = events.where(F.col("EVENT_TYPE") == "purchase")
     daily = purchases.groupBy("PRODUCT_ID", "EVENT_DATE").agg(
@@ -83,7 +87,7 @@ def weekly_sales(events: DataFrame, by_cycle: bool = False) -> DataFrame:
         F.avg("PRICE").alias("AVG_PRICE"),
         *[F.max(c).alias(c) for c in week],
     )
-    weekly = daily.groupBy("PRODUCT_ID", *week).agg(
+    weekly = daily.repartition("PRODUCT_ID").groupBy("PRODUCT_ID", *week).agg(
         F.count("EVENT_DATE").alias("DAYS_PURCHASED"),
         F.avg("AVG_PRICE").alias("AVG_PRICE"),
         F.sum("SALES").alias("SALES"),
@@ -99,22 +103,23 @@ def weekly_sales(events: DataFrame, by_cycle: bool = False) -> DataFrame:
 def with_previous_week(weekly: DataFrame) -> DataFrame:
     """Carry sales and mean price of the product's previous week (NULL where missing).
 
-    With cycles, week 1 of cycle 2 follows week 52 of cycle 1.
+    With cycles, week 1 of cycle 2 follows week 52 of cycle 1. A product has at most 53
+    weeks per cycle, so they are looked up among the product's own rows instead of by a
+    second computation of the table to join with.
     """
-    keys = {"PRODUCT_ID": F.col("PRODUCT_ID"), "PREVIOUS_WEEK_NUMBER": F.col("WEEK_NUMBER")}
-    left = weekly
+    week, before = F.col("WEEK_NUMBER"), F.col("PREVIOUS_WEEK_NUMBER")
     if "WEEK_NUMBER_CYCLE" in weekly.columns:
-        keys["__cycle"] = F.col("WEEK_NUMBER_CYCLE")
-        left = weekly.withColumn(
-            "__cycle", F.col("WEEK_NUMBER_CYCLE") - F.when(F.col("WEEK_NUMBER") == 1, 1).otherwise(0)
-        )
-    before = weekly.select(
-        *[column.alias(name) for name, column in keys.items()],
-        F.col("SALES").alias("PREVIOUS_WEEK_SALES"),
-        F.col("AVG_PRICE").alias("PREVIOUS_WEEK_AVG_PRICE"),
+        cycle = F.col("WEEK_NUMBER_CYCLE")
+        week = cycle * 100 + week
+        before = (cycle - F.when(F.col("WEEK_NUMBER") == 1, 1).otherwise(0)) * 100 + before
+    entries = F.collect_list(F.struct(week, F.struct("SALES", "AVG_PRICE")))
+    weeks = F.map_from_entries(entries.over(Window.partitionBy("PRODUCT_ID")))
+    found = weekly.withColumn("__found", F.try_element_at(weeks, before))
+    return found.select(
+        *weekly.columns,
+        F.col("__found.SALES").alias("PREVIOUS_WEEK_SALES"),
+        F.col("__found.AVG_PRICE").alias("PREVIOUS_WEEK_AVG_PRICE"),
     )
-    columns = [*weekly.columns, "PREVIOUS_WEEK_SALES", "PREVIOUS_WEEK_AVG_PRICE"]
-    return left.join(before, list(keys), "left").select(*columns)
 
 
 def weekly_demand(events: DataFrame, by_cycle: bool = False) -> DataFrame:
