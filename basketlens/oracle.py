@@ -446,8 +446,8 @@ SELECT USER_SESSION, EVENT_TYPE, PRODUCT_ID, {_time('EVENT_TIME')}, round(PRICE,
 FROM (SELECT *, row_number() OVER (PARTITION BY USER_SESSION, EVENT_TYPE, PRODUCT_ID
         ORDER BY EVENT_TIME DESC, event_id) AS pick FROM dirty) WHERE pick = 1""",
     "dedupe_dimension": """
-SELECT PRODUCT_ID, arg_min(coalesce(BRAND, '?'), event_id) AS b, min(event_id) AS event_id
-FROM log GROUP BY PRODUCT_ID""",
+SELECT PRODUCT_ID, BRAND, event_id FROM (SELECT *, row_number() OVER (
+  PARTITION BY PRODUCT_ID ORDER BY event_id) AS pick FROM log) WHERE pick = 1""",
     "check_mapping": _report(
         "Field mapping", "fact_behaviour_log", "PRODUCT_Key", "PRODUCT_ID", "event_id",
         "CAST(event_id AS VARCHAR)",
@@ -592,8 +592,4 @@ SELECT USER_ID, event_id, {_time('EVENT_TIME')}, EVENT_TYPE, round(PRICE, 4) AS
 FROM (SELECT *, row_number() OVER (PARTITION BY USER_ID ORDER BY EVENT_TIME DESC, event_id) AS pick
       FROM log) WHERE pick = 1""",
 }
-_BODIES["dedupe_dimension"] = """
-SELECT PRODUCT_ID, BRAND, event_id FROM (SELECT *, row_number() OVER (
-  PARTITION BY PRODUCT_ID ORDER BY event_id) AS pick FROM log) WHERE pick = 1"""
-
 SQL: dict[str, str] = {name: _sql(body) for name, body in _BODIES.items()}

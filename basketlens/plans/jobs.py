@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from basketlens import schemas
 from basketlens.operators import ledger as lg
 from basketlens.operators import merge, quality
+from basketlens.operators.ordering import latest_batch
 from basketlens.plans import dimensions, facts, forecast, history, rfm, weekly
 from basketlens.session import configure, stored
 from basketlens.sources import readers, writers
@@ -46,6 +47,11 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(schemas.schema(name)).parquet(self.path(name))
 
+    def as_views(self) -> None:
+        """Offer every stored table to SQL as a temporary view, ``curated_dim_date`` and so on."""
+        for name in schemas.PARTITIONING:
+            self.ensure(name).createOrReplaceTempView(name.replace(".", "_"))
+
     def ensure(self, name: str) -> DataFrame:
         """The table, created empty on first use."""
         parts = schemas.PARTITIONING[name]
@@ -76,7 +82,10 @@ class Lake:
     # --- data quality --------------------------------------------------------------------
 
     def quarantine(self, item: str, batch: int, *reports: DataFrame) -> None:
-        """Keep the bad rows of a run, as a table and, if there are any, as a JSON log."""
+        """Keep the bad rows of a run, as a table and, if there are any, as a JSON log.
+
+        Only the new batch is checked: bad rows of earlier ones are in their own reports.
+        """
         path = f"{self.root}/quarantine/{item}/{batch}"
         for report in reports:
             writers.append_quarantine(report, path)
@@ -161,7 +170,7 @@ def build_dim_product(lake: Lake, run: Run) -> bool:
         if not _fresh(lake, "history.behaviour_log", batch):
             return False
         nulls = quality.check_null(
-            log, "history.behaviour_log", ["PRODUCT_ID"], ["PRODUCT_ID"],
+            latest_batch(log), "history.behaviour_log", ["PRODUCT_ID"], ["PRODUCT_ID"],
             data_date=run.date, run_ts=run.run_ts,
         )
         lake.quarantine("cur_dim_product", batch, nulls)
@@ -185,7 +194,9 @@ def build_fact_behaviour(lake: Lake, run: Run) -> bool:
         key = ["EVENT_TIME", "USER_ID", "USER_SESSION"]
         stamp = {"data_date": run.date, "run_ts": run.run_ts}
         numbered = stored(facts.action_sequence(facts.usable_events(log)), "numbered")
-        nulls = quality.check_null(log, "history.behaviour_log", key, key, **stamp)
+        nulls = quality.check_null(
+            latest_batch(log), "history.behaviour_log", key, key, **stamp
+        )
         duplicates, unique = quality.check_duplicate(
             numbered, "history.behaviour_log", facts.ACTION_KEY, facts.ACTION_KEY, kind="Fact",
             time_column="EVENT_TIME", tie_break=facts.TIE_BREAK, **stamp,
@@ -218,7 +229,9 @@ def build_fact_target(lake: Lake, run: Run) -> bool:
             facts.usable_targets(targets), "history.sales_target", key, key, kind="Fact",
             time_column="BATCHNUMBER", tie_break=["TARGET"], **stamp,
         )
-        nulls = quality.check_null(targets, "history.sales_target", key, key, **stamp)
+        nulls = quality.check_null(
+            latest_batch(targets), "history.sales_target", key, key, **stamp
+        )
         lake.quarantine("cur_fact_target", batch, nulls, duplicates)
         name = "curated.fact_target"
         fact = facts.fact_target(targets, run.run_ts)
