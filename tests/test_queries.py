@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from basketlens import catalog, oracle
 from tests.conftest import SF_DIR
 from tests.oracle_compare import compare, connect
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = dict(catalog.QUERIES), dict(oracle.SQL)
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def connection():
 
 def test_every_statement_has_a_query():
     assert SQL.keys() <= QUERIES.keys()
+    assert QUERIES.keys() <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
