@@ -1,3 +1,28 @@
 """From raw documents to token ids: the corpus operators as stages over stored tables."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from basketlens.llm import mixing
+from basketlens.session import configure, stored
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's target asks for."""
+    return mixing.mixed(docs)
+
+
+STAGES = [("mixing", mix)]
+
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn over ``documents``; each result is written and read by the next stage."""
+    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for place, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if place < len(STAGES) - 1:
+            docs = stored(docs, f"stage{place}")
+    return docs
