@@ -14,13 +14,13 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[list], list]]) -> DataFrame:
+def map_rows(df: DataFrame, schema: str | StructType, start: Callable[[], Callable[[list], list]]) -> DataFrame:
     """One output row per input row: ``start()`` runs once per task and returns the row function.
 
     The row function takes the values of a row and returns the values of the output
     columns. Whole texts stay with their row; only one batch is held at a time.
     """
-    out = StructType.fromDDL(schema)
+    out = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import mixing
+from basketlens.llm import mixing, quality
 from basketlens.llm.arrow import word_count
 from basketlens.session import configure, stored
 
@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base features and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.assessed(docs, keep=["doc_id"]).drop("class_distance", "word_distance")
+
+
 @query
 def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document when the sources are mixed."""
