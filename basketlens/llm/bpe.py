@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 from basketlens.llm.arrow import map_rows
 
 CACHED_PIECE = 64  # longer pieces are not kept
-CACHE_SIZE = 200_000
+CACHE_SIZE = 150_000  # pieces in either half of the cache
 PAIRS_SIZE = 1_000_000
 
 
@@ -38,6 +38,17 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines())}
 
 
+class Shorter(dict):
+    """Token to the longest token that is a proper prefix of it, '' if none; filled on demand."""
+
+    def __init__(self, prefix: Callable[[str], str]) -> None:
+        self.prefix = prefix
+
+    def __missing__(self, token: str) -> str:
+        self[token] = found = self.prefix(token[:-1])
+        return found
+
+
 class Coder:
     """Encoder and decoder of one vocabulary."""
 
@@ -51,8 +62,11 @@ class Coder:
         self.trie = ahocorasick.Automaton()
         for token in self.ranks:
             self.trie.add_word(token, token)
+        self.codes = {token: rank.to_bytes(4, "little") for token, rank in self.ranks.items()}
+        self.shorter = Shorter(self.prefix)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The tokens of a short string by merging its lowest-ranked pair again and again."""
@@ -76,9 +90,8 @@ class Coder:
             self.pairs[before, token] = known
         return known
 
-    def prefix(self, text: str, most: int) -> str:
-        """The longest token of at most ``most`` bytes that ``text`` begins with, '' if none."""
-        text = text[:most]
+    def prefix(self, text: str) -> str:
+        """The longest token that ``text`` begins with, '' if none."""
         length = self.trie.longest_prefix(text)
         while length and text[:length] not in self.ranks:
             length -= 1
@@ -90,30 +103,37 @@ class Coder:
             return [text]
         done: list[str] = []
         dead = bytearray(len(text) + 1)
-        at, token = 0, self.prefix(text[: self.longest], self.longest)
+        longest, shorter, pairs = self.longest, self.shorter, self.pairs
+        at, before, token = 0, "", self.prefix(text[:longest])
         while at < len(text):
-            before = done[-1] if done else ""
-            while token and (dead[at + len(token)] or not self.fits(before, token)):
-                token = self.prefix(token, len(token) - 1)
+            while token:
+                if not dead[at + len(token)]:
+                    fits = pairs.get((before, token))
+                    if fits or fits is None and self.fits(before, token):
+                        break
+                token = shorter[token]
             if token:
                 done.append(token)
                 at += len(token)
-                token = self.prefix(text[at : at + self.longest], self.longest)
+                before, token = token, self.prefix(text[at : at + longest])
             elif done:
                 dead[at] = 1
                 last = done.pop()
                 at -= len(last)
-                token = self.prefix(last, len(last) - 1)
+                before, token = done[-1] if done else "", shorter[last]
             else:
                 raise ValueError("the vocabulary cannot spell this text")
         return done
 
     def piece_ids(self, piece: str) -> bytes:
-        """Ids of one piece as little-endian 32-bit integers."""
-        tokens = self.backtracked(piece.encode().decode("latin-1"))
-        ids = np.fromiter(map(self.ranks.__getitem__, tokens), "<u4", len(tokens)).tobytes()
+        """Ids of one piece as little-endian 32-bit integers, from the older half of the cache or anew."""
+        ids = self.older.get(piece)
+        if ids is None:
+            tokens = self.backtracked(piece.encode().decode("latin-1"))
+            ids = b"".join(map(self.codes.__getitem__, tokens))
         if len(piece) <= CACHED_PIECE:
             if len(self.cache) >= CACHE_SIZE:
+                self.older = self.cache.copy()
                 self.cache.clear()
             self.cache[piece] = ids
         return ids

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import mixing, quality
+from basketlens.llm import bpe, language, mixing, quality
 from basketlens.llm.arrow import word_count
 from basketlens.session import configure, stored
 
@@ -78,3 +79,20 @@ SELECT doc_id, size, source_size, target,
   ((floor(place * rate + start) - floor((place - 1) * rate + start)) * size)::BIGINT AS taken
 FROM ranked
 """
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the bytes decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.with_ids(docs, ranks, public_tokenizers.PATTERN, digest=True, keep=["doc_id"])
+
+
+@query
+def op9_output_codes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the two thirds that are not held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    known = docs.where(~F.col("held_out"))
+    return language.identified(docs, known, keep=["doc_id", "held_out"])
