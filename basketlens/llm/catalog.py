@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, language, mixing, quality
+from basketlens.llm import bpe, chat, language, mixing, quality
 from basketlens.llm.arrow import word_count
 from basketlens.session import configure, stored
 
@@ -96,3 +96,27 @@ def op9_output_codes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     known = docs.where(~F.col("held_out"))
     return language.identified(docs, known, keep=["doc_id", "held_out"])
+
+
+@query
+def op10_template_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted text."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn int, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.formatted(rows.unionByName(extra), digest=True)
+
+
+SQL["op10_template_chat"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(3 + 7 + 8 + 5 + length(role) + length(text)
+      + length(regexp_replace(role || text, '[^\\<\[]', '', 'g')))::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
