@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, chat, language, mixing, quality
+from basketlens.llm import bpe, chat, html, language, mixing, quality
 from basketlens.llm.arrow import word_count
 from basketlens.session import configure, stored
 
@@ -36,6 +36,12 @@ def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assessed(docs, keep=["doc_id"]).drop("class_distance", "word_distance")
 
 
+@query
+def op5_tree_scoring_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extracted(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 @query
 def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document when the sources are mixed."""
