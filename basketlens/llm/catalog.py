@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, chat, html, language, mixing, quality
+from basketlens.llm import bpe, chat, html, language, mixing, quality, secrets
 from basketlens.llm.arrow import word_count
 from basketlens.session import configure, stored
 
@@ -42,6 +42,12 @@ def op5_tree_scoring_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+@query
+def op6_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secrets.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+
+
 @query
 def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document when the sources are mixed."""
