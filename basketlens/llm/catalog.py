@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, chat, html, language, mixing, quality, secrets
+from basketlens.llm import bpe, chat, html, language, mixing, neardup, quality, secrets
 from basketlens.llm.arrow import word_count
 from basketlens.session import configure, stored
 
@@ -36,6 +36,31 @@ def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assessed(docs, keep=["doc_id"]).drop("class_distance", "word_distance")
 
 
+@query
+def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document."""
+    return neardup.clustered(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+SQL["op2_minhash_neardup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+    ELSE list_distinct([w[i] || chr(10) || w[i + 1] for i in range(1, len(w))]) END AS s FROM words),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.b) AS component_id, s.doc_id = min(r.b) AS kept
+FROM sets s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
+
 @query
 def op5_tree_scoring_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
@@ -56,9 +81,9 @@ def op7_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.with_copies(sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 
-SQL["op7_systematic_mixing"] = """
+SQL["op7_systematic_mixing"] = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 per_source AS (
   SELECT source, sum(size)::BIGINT AS source_size,
