@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, chat, html, language, mixing, neardup, quality, secrets
+from basketlens.llm import bpe, chat, html, language, mixing, neardup, neighbours, quality, secrets
 from basketlens.llm.arrow import word_count
 from basketlens.session import configure, stored
 
@@ -61,6 +61,29 @@ FROM sets s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.s
 """
 
 
+@query
+def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    return neighbours.clustered(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op3_nn_descent"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR isnan(v) OR isinf(v))) = 0
+    AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.98),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(any_value(n), 0)::BIGINT AS n_links, min(b) AS component_id, vec_id = min(b) AS kept
+FROM embeddings JOIN reach ON reach.a = vec_id LEFT JOIN counts ON counts.a = vec_id GROUP BY vec_id
+"""
+
+
 @query
 def op5_tree_scoring_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
