@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, chat, html, language, mixing, neardup, neighbours, quality, secrets
+from basketlens.llm import bpe, chat, html, language, mixing, neardup, neighbours, quality, secrets, toxicity
 from basketlens.llm.arrow import word_count
 from basketlens.session import configure, stored
 
@@ -84,6 +84,13 @@ FROM embeddings JOIN reach ON reach.a = vec_id LEFT JOIN counts ON counts.a = ve
 """
 
 
+@query
+def op4_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.graded(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), keep=["doc_id"])
+
+
 @query
 def op5_tree_scoring_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
