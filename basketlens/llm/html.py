@@ -4,8 +4,8 @@ A page is read into a tree. Every block of text gives points for its length and
 the share of its text that stands in links; its parent gets all of them, the
 grandparent half, elements farther up a third, a quarter and so on. The element with the
 most points is the container; inside an article or main element that is the whole of
-it. Of its siblings those are kept that have a good part of its points, or that are headings or paragraphs of
-real text beside it. Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+it. Of its siblings those are kept that have a good part of its points, or that are headings, or paragraphs, lists
+and tables of real text. Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments are left out by element, role and class before anything is scored.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are
@@ -31,7 +31,7 @@ from pyspark.sql.types import StructType
 from basketlens.llm.arrow import map_rows
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _TOKEN = re.compile(r"[a-z0-9]+")
@@ -45,6 +45,7 @@ _BLOCK = frozenset(
     "tfoot th thead tr ul".split()
 )
 _CLOSES_P = _BLOCK - frozenset("body html caption tbody td tfoot th thead tr option".split())
+_PROSE = frozenset("p blockquote pre ul ol dl table figure".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _DROPPED = frozenset(
     "nav footer aside form script style noscript template iframe object embed svg canvas audio video map button select option "
@@ -269,7 +270,7 @@ def main_text(page: str) -> str:
         least = max(1.0, KEPT_SIBLING * best.points)
         for sibling in best.parent.children:
             density = sibling.linked / sibling.words if sibling.words else 0
-            prose = sibling.tag in _HEADING or sibling.tag in ("p", "blockquote", "pre") and density < SIBLING_LINKS
+            prose = sibling.tag in _HEADING or sibling.tag in _PROSE and density < SIBLING_LINKS
             if sibling.tag and sibling.words and (prose or sibling.points >= least and density < SIBLING_LINKS):
                 kept.add(id(sibling))
     texts = []

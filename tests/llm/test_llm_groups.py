@@ -157,6 +157,8 @@ def test_mixing_odd_tables(spark):
 
 # op5
 
+joined = lambda parts, n: st.lists(st.sampled_from(parts), max_size=n).map("".join)
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header>Site name</header>
 <nav><a href=/a>Menu, one</a></nav><div class="sidebar"><p>Side, text, with, commas, here.</p></div>
 <div class="content"><div><p>First &amp; foremost, a
@@ -187,7 +189,7 @@ def test_small_pages(page, text):
     assert html.main_text(page) == text
 
 
-@given(st.text(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<b", ">", "<li>", "<!--", "-->", "<script>", "</script>", "x", " ", "&amp;", '"', "<table><tr><td>", "<nav>", "</nav>"]), max_size=40))
+@given(joined(["<p>", "</p>", "<div>", "</div>", "<b", ">", "<li>", "<!--", "-->", "<script>", "</script>", "x", " ", "&amp;", '"', "<table><tr><td>", "<nav>", "</nav>"], 40))
 @settings(max_examples=300, deadline=None)
 def test_any_markup_is_read(page):
     text = html.main_text(page)
@@ -230,8 +232,8 @@ def test_template_language():
 
 
 def test_constants_are_folded():
-    tree = template.fold(template.parse("a{{ 'b' ~ 1 + 2 }}{% if 1 > 2 %}no{% else %}c{% endif %}{{ x | f }}"), {"f": str})
-    assert tree == [("text", "ab12c"), ("output", ("filter", "f", ("name", "x")))] or tree[0][0] == "text" and len(tree) == 2
+    tree = template.fold(template.parse("a{{ 'b' ~ (1 + 2) }}{% if 1 > 2 %}no{% else %}c{% endif %}{{ x | f }}"), {"f": str})
+    assert tree == [("text", "ab3c"), ("output", ("filter", "f", ("name", "x")))]
 
 
 @pytest.mark.parametrize("source", ["{% for x %}{% endfor %}", "{% if a %}", "{{ a( }}", "{{ a | nope }}", "{% endif %}", "{{ 'a }}", "{{ }}"])
@@ -246,7 +248,7 @@ def test_templates_reach_nothing_else():
             list(template.compile(source)({"x": {}}))
 
 
-@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "tool<"]), st.text(st.sampled_from(["<s>", "[INST]", "\\", "\\l", "</s>\n", "a", " ", "é"]), max_size=8)), max_size=5))
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "tool<"]), joined(["<s>", "[INST]", "\\", "\\l", "</s>\n", "a", " ", "é"], 8)), max_size=5))
 @settings(max_examples=200, deadline=None)
 def test_round_trip(turns):
     program = template.compile(chat.TEMPLATE, {"escape": chat.escape})

@@ -9,7 +9,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from basketlens.llm import bpe, catalog, language, quality, secrets
+from basketlens.llm import bpe, catalog, language, quality, secrets, toxicity
 from tests.conftest import SF_DIR
 from tests.llm.helpers import base_features, documents, secret_spans, sha
 
@@ -17,6 +17,7 @@ ODD = [
     None, "", " ", "\n\n \t", "a", "a\x1cb c", "x " * 5000, "word" * 20000, "é ü  日本 🙂", "A\nA\nA\n\n\n",
     "the same eight words are in this line\n" * 4, "# * $ % & | < >", "\x00 zero",
 ]
+joined = lambda parts, n: st.lists(st.sampled_from(parts), max_size=n).map("".join)
 TEXTS = st.text(st.sampled_from(list("ab \n\t#é$")), max_size=120)
 
 
@@ -78,7 +79,7 @@ def test_distance_is_between_zero_and_one():
 # op6
 
 
-@given(st.text(st.sampled_from(list("aAf0 9=:\"'_-") + ["token", "api_key", "AKIA", "PassWord", "ſ", "K"]), max_size=60))
+@given(joined([*"aAf0 9=:\"'_-", "token", "api_key", "AKIA", "PassWord", "ſ", "\u212a", "0123456789ab" * 2], 25))
 @settings(max_examples=300, deadline=None)
 def test_base_spans_match_brute_force(text):
     assert [f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in secrets.base_spans(text)] == secret_spans(text)
@@ -169,7 +170,7 @@ def ids(coder, text):
     return np.frombuffer(coder.encode(text), "<u4").tolist()
 
 
-@given(st.text(st.one_of(st.sampled_from(list("aeinrst \n\t'") + ["the", "ing", "'ll", "\x1c", "\x85", " "]), st.characters(exclude_categories=["Cs"])), max_size=60))
+@given(st.one_of(joined([*"aeinrst \n\t'", "the", "ing", "'ll", "\x1c", "\x85", "\u3000", "é"], 60), st.text(max_size=60)))
 @settings(max_examples=500, deadline=None)
 def test_encoding_is_tiktokens(coder, tiktokens, text):
     assert ids(coder, text) == tiktokens.encode_ordinary(text)
@@ -234,3 +235,39 @@ def test_language_defined_cases(spark):
     one = language.identified(df, df.where("lang = 'en'")).collect()
     assert {r.lang_pred for r in one} == {"en", "und"}
     assert language.identified(df.where("false"), df).count() == 0
+
+
+# op4
+
+
+def test_toxic_documents_are_found_and_clean_ones_left_alone(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    known = spark.read.parquet(f"{sf}/labels.parquet").where("doc_id % 2 = 0")
+    got = [r for r in toxicity.graded(docs, known, keep=["doc_id"]).collect() if r.doc_id % 2 and r.doc_id in labels]
+    toxic = [r.toxic for r in got if labels[r.doc_id]]
+    clean = [r.toxic for r in got if not labels[r.doc_id]]
+    assert np.mean(toxic) > 0.85 and np.mean(clean) < 0.01
+    assert all(0 <= r.severity <= 3 for r in got)
+    assert np.mean([r.severity for r in got if labels[r.doc_id]]) > 5 * np.mean([r.severity for r in got if not labels[r.doc_id]])
+
+
+def test_ordinal_gradient_fits_a_known_order():
+    draw = np.random.default_rng(0)
+    x = draw.normal(size=(4000, 2))
+    noise = draw.logistic(size=4000)
+    y = np.searchsorted([-1.0, 0.5, 2.0], x @ [2.0, -1.0] + noise)
+    weights, thresholds = toxicity.ordinal(x, y, np.full(4000, 1 / 4000), toxicity.Settings(steps=800, decay=0.0))
+    assert np.allclose(weights, [2, -1], atol=0.15) and np.allclose(thresholds, [-1, 0.5, 2], atol=0.2)
+
+
+def test_toxicity_defined_cases(spark):
+    rows = [(i, "plain words here " * 3) for i in range(40)] + [(100 + i, f"you idiot {i} words") for i in range(40)]
+    df = documents(spark, [*rows, (500, None), (501, ""), (502, "An IDIOT, idiot!"), (100, "you idiot again")]).selectExpr("*", "'x' as grade")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in rows] + [(100, 0), (None, 1), (3, None)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.graded(df, labels).collect()}
+    assert got[502].toxic and got[100].toxic and not got[500].toxic and not got[501].toxic and not got[0].toxic
+    none = toxicity.graded(df, labels.where("toxic = 0")).collect()
+    assert {(r.severity, r.grade, r.toxic) for r in none} == {(0.0, 0, False)} and len(none) == len(rows) + 4
+    assert toxicity.graded(df.where("false"), labels).count() == 0
