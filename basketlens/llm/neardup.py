@@ -48,6 +48,7 @@ class Settings:
     rows: int = 6
     queries_per_block: int = 64
     members_per_block: int = 1024
+    bitmap_words: int = 1 << 19
 
 
 class WordHashes(dict):
@@ -189,6 +190,20 @@ def blocked(queries: DataFrame, members: DataFrame, settings: Settings) -> DataF
     return asked.union(met)
 
 
+def chosen(texts: DataFrame, asked: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of ``texts`` whose id is in ``asked``.
+
+    A bitmap of hashed ids, at most ``bitmap_words`` rows of 64 bits however many ids there are, is
+    broadcast and sorts out most other texts where they are read; only the rest is shuffled to the join.
+    """
+    bit = lambda column: F.pmod(F.xxhash64("id", F.lit(3)), F.lit(64 * settings.bitmap_words)).alias(column)
+    one = F.expr("shiftleft(1L, cast(bit % 64 as int))")
+    words = asked.select(bit("bit")).groupBy((F.col("bit") / 64).cast("long").alias("word")).agg(F.bit_or(one).alias("bits"))
+    near = texts.withColumn("bit", bit("bit")).withColumn("word", (F.col("bit") / 64).cast("long"))
+    near = near.join(F.broadcast(words), "word").where(F.col("bits").bitwiseAND(one) != 0)
+    return near.select(*texts.columns).join(asked, "id")
+
+
 def clustered(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
     signatures = stored(signed(docs, settings), "signatures")
@@ -201,8 +216,7 @@ def clustered(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     stars = stored(keys.join(buckets, "key").where("id <> center").select("id", "center").distinct(), "stars")
 
     asked = stars.select("id").union(stars.select("center")).distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(asked, "id")
-    texts = stored(texts, "texts")
+    texts = stored(chosen(docs.select(F.col("doc_id").alias("id"), "text"), asked, settings), "texts")
     centers = stars.select(F.col("center").alias("g"), F.col("center").alias("id")).distinct()
     rays = stars.select(F.col("center").alias("g"), "id")
     links = stored(compared(blocked(centers, rays, settings), texts, settings), "links")
