@@ -328,7 +328,8 @@ def upsert_dim_product(spark, sf_dir):
     log = testdata.behaviour_log(spark, sf_dir)
     target = dimensions.dim_product(log.where("BATCHNUMBER = 1"), ETL_TS)
     source = dimensions.dim_product(log.where("BATCHNUMBER = 2"), LATER_TS)
-    return comparable(merge.upsert(target, source, ["PRODUCT_ID"]).drop("PRODUCT_ID_KEY"))
+    merged = merge.upsert(target, source, ["PRODUCT_ID"], unique=True)
+    return comparable(merged.drop("PRODUCT_ID_KEY"))
 
 
 def _spending(events: DataFrame, batch: int) -> DataFrame:
@@ -356,7 +357,7 @@ def upsert_user_session(spark, sf_dir):
     monthly = events.withColumn("USER_SESSION", F.concat_ws("-", "USER_ID", "EVENT_TYPE"))
     target = facts.fact_user_session(monthly.where("BATCHNUMBER = 1"), ETL_TS)
     source = facts.fact_user_session(monthly.where("BATCHNUMBER = 2"), LATER_TS)
-    return comparable(merge.upsert(target, source, ["USER_SESSION"]))
+    return comparable(merge.upsert(target, source, ["USER_SESSION"], unique=True))
 
 
 @query
@@ -371,10 +372,31 @@ def upsert_fact_partitions(spark, sf_dir):
     merge.upsert_partitions(
         spark, path, second, facts.FACT_KEY, parts,
         update_when=lambda t, s: t["EVENT_DATETIME"] <= s["EVENT_DATETIME"],
+        decided_by=["EVENT_DATETIME"],
     )
     return spark.read.parquet(path).groupBy(*parts, "SALES_BRANCH").agg(F.count(F.lit(1)).alias("N"))
 
 
+@query
+def upsert_null_partitions(spark, sf_dir):
+    """Part of the rows have no date on either side: that partition is merged like any other."""
+    path = scratch_path(spark, "dated")
+    events = testdata.behaviour_events(spark, sf_dir).select(
+        "event_id",
+        F.when(F.col("event_id") % 3 > 0, F.date_format("EVENT_TIME", "yyyy-MM-dd")).alias("DAY"),
+        F.lit("old").alias("STATE"),
+        "BATCHNUMBER",
+    )
+    old = events.where("BATCHNUMBER = 1 or event_id % 2 = 0")
+    writers.overwrite_path(old.drop("BATCHNUMBER"), path, ["DAY"])
+    new = events.where("BATCHNUMBER = 2").withColumn("STATE", F.lit("new")).drop("BATCHNUMBER")
+    merge.upsert_partitions(
+        spark, path, new.select("event_id", "STATE", "DAY"), ["event_id"], ["DAY"], decided_by=["event_id"]
+    )
+    table = spark.read.schema("event_id long, STATE string, DAY string").parquet(path)
+    return table.groupBy("DAY", "STATE").agg(F.count(F.lit(1)).alias("N"), F.sum("event_id").alias("IDS"))
+
+
 @query
 def replace_by_year(spark, sf_dir):
     """Targets of all years; the years of a new delivery are replaced as a whole."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.session import stored
+from basketlens.session import passing, remove_path
 from basketlens.sources.writers import laid_out, overwrite_path
 
 # Given the target's and the source's columns by name, decides whether to update.
@@ -27,54 +29,83 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     update_when: Condition | None = None,
+    *,
+    unique: bool = False,
 ) -> DataFrame:
     """Update matched rows, insert the others, keep the rest of the target.
 
     ``update_when(target, source)`` limits the update to matched rows that fulfil it. NULL
     keys never match, so such source rows are inserted. Target columns decide the layout.
+    The check for two source rows with one key reads the source once more; ``unique`` says
+    that its making rules that out, and the source is then planned only once.
     """
     keys = list(keys)
-    source = require_unique(source.select(*target.columns), keys)
-    if update_when is None:
-        return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
+    source = source.select(*target.columns)
+    if not unique:
+        source = require_unique(source, keys)
     # One full join: a row is matched when both markers are set.
     t = {c: F.col(f"t.{c}") for c in [*target.columns, "__t"]}
     s = {c: F.col(f"s.{c}") for c in [*target.columns, "__s"]}
     joined = target.withColumn("__t", F.lit(True)).alias("t").join(
         source.withColumn("__s", F.lit(True)).alias("s"), [t[k] == s[k] for k in keys], "full"
     )
-    take_source = t["__t"].isNull() | (s["__s"] & update_when(t, s))
+    update = F.lit(True) if update_when is None else update_when(t, s)
+    take_source = t["__t"].isNull() | (s["__s"] & update)
     return joined.select(
         *[F.when(take_source, s[c]).otherwise(t[c]).alias(c) for c in target.columns]
     )
 
 
+def occurs_in(df: DataFrame, source: DataFrame, columns: Sequence[str]) -> Column:
+    """Whether a row of ``df`` has a combination of values that occurs in ``source``, NULLs equal.
+
+    The combinations are a list in a scalar subquery, which Spark evaluates before it lists
+    the files: on partition columns it prunes the scan. Only for columns with few values, such as
+    dates; the list has one entry for each.
+    """
+    values = lambda: F.struct(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in columns])
+    found = source.agg(F.collect_set(values()).alias("found")).scalar()
+    return F.coalesce(F.array_contains(found, values()), F.lit(False))
+
+
 def replace_where_in(target: DataFrame, source: DataFrame, column: str) -> DataFrame:
-    """Drop target rows whose ``column`` value occurs in the source, then append it."""
-    replaced = source.select(column).distinct()
-    return target.join(replaced, column, "left_anti").unionByName(
-        source.select(*target.columns)
-    )
+    """Drop target rows whose ``column`` value occurs in the source, then append it.
+
+    The column must have few values, such as a year. The target is filtered as it is read, without
+    a shuffle. Rows without a value are kept.
+    """
+    kept = F.col(column).isNull() | ~occurs_in(target, source, [column])
+    return target.where(kept).unionByName(source.select(*target.columns))
 
 
-def _staged(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` next to ``path`` and read it back, so the target is never read while
-    it is being replaced and a failed replacement can be repeated from the staged copy."""
-    stage = f"{path.rstrip('/')}__stage"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(stage)
-    return df.sparkSession.read.schema(df.schema).parquet(stage)
+@contextmanager
+def _staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``df`` written next to ``path`` under a name of its own and read back, so the target is never
+    read while it is being replaced. The copy stays if the replacement fails, which can then be
+    repeated from it, and is removed otherwise."""
+    stage = f"{path.rstrip('/')}__stage-{uuid.uuid4().hex}"
+    df.write.option("partitionOverwriteMode", "static").parquet(stage)
+    yield df.sparkSession.read.schema(df.schema).parquet(stage)
+    remove_path(df.sparkSession, stage)
 
 
 def rewrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the whole table at ``path`` with ``df``, which may itself read that table."""
-    overwrite_path(_staged(df, path), path, partition_by)
+    with _staged(df, path) as staged:
+        overwrite_path(staged, path, partition_by)
 
 
 def rewrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace the partitions that occur in ``df``; the others stay as they are."""
-    laid_out(_staged(df, path), partition_by).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*partition_by).parquet(path)
+    with _staged(df, path) as staged:
+        laid_out(staged, partition_by).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*partition_by).parquet(path)
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` in partitions that occur in ``source``; the scan is pruned to them."""
+    return target.where(occurs_in(target, source, partition_by))
 
 
 def upsert_partitions(
@@ -84,18 +115,26 @@ def upsert_partitions(
     keys: Sequence[str],
     partition_by: Sequence[str],
     update_when: Condition | None = None,
+    *,
+    decided_by: Sequence[str],
+    unique: bool = False,
 ) -> None:
     """Upsert into a table at ``path``, rewriting only the partitions the source touches.
 
-    Only for tables whose keys determine the partition (an event time and its date), so a
-    row can never move to another partition; otherwise ``rewrite_table(upsert(...))``.
-    The touched partitions are found by a semi join on the partition columns alone, which
-    prunes the target scan. The source is stored first because the check of its keys, the
-    list of partitions and the merge all read it.
+    ``decided_by`` names the keys that determine the partition, such as an event's time its
+    date, so that a row can never move; without such keys use ``rewrite_table(upsert(...))``. A
+    source in which one value of them lies in two partitions is refused. The
+    source is stored while this runs because the list of partitions and the merge both read it.
     """
-    source = stored(source, "upsert-source")
-    target = spark.read.schema(source.schema).parquet(path)
-    # One row per partition of the source, such as the days of a batch: safe to broadcast.
-    touched = source.select(*partition_by).distinct()
-    current = target.join(F.broadcast(touched), list(partition_by), "left_semi")
-    rewrite_partitions(upsert(current, source, keys, update_when), path, partition_by)
+    if not decided_by or not set(decided_by) <= set(keys):
+        raise ValueError(f"decided_by must name some of the keys {list(keys)}")
+    with passing(source, "upsert-source") as source:
+        places = source.na.drop(subset=list(decided_by)).groupBy(*decided_by)
+        parts = F.struct(*partition_by)
+        moved = places.agg(F.min(parts).alias("low"), F.max(parts).alias("high")).where("low <> high")
+        if not moved.isEmpty():
+            raise ValueError(f"{list(decided_by)} do not determine the partition")
+        target = spark.read.schema(source.schema).parquet(path)
+        current = touched_partitions(target, source, partition_by)
+        merged = upsert(current, source, keys, update_when, unique=unique)
+        rewrite_partitions(merged, path, partition_by)

@@ -481,6 +481,11 @@ FROM (SELECT USER_ID || '-' || EVENT_TYPE AS USER_SESSION, BATCHNUMBER AS batch,
 SELECT {_parts('EVENT_TIME')}, CASE WHEN BATCHNUMBER = 2 THEN 'Europe' ELSE 'America' END
     AS SALES_BRANCH, count(*) AS N
 FROM log WHERE NOT (EVENT_TYPE = 'purchase' AND PRICE <= 0) GROUP BY ALL""",
+    "upsert_null_partitions": """
+SELECT CASE WHEN event_id % 3 > 0 THEN strftime(EVENT_TIME, '%Y-%m-%d') END AS "DAY",
+  CASE WHEN BATCHNUMBER = 2 THEN 'new' ELSE 'old' END AS STATE, count(*) AS N,
+  CAST(sum(event_id) AS BIGINT) AS IDS
+FROM log GROUP BY ALL""",
     "replace_by_year": f"""
 SELECT COUNTRY, strftime(d, '%Y-%m-%d') AS "DATE",
   round(CASE WHEN year(d) >= 2000 THEN 2 ELSE 1 END * TARGET / n + 1e-7, 2) AS DAILYTARGET,

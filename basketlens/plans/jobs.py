@@ -176,7 +176,7 @@ def build_dim_product(lake: Lake, run: Run) -> bool:
         lake.quarantine("cur_dim_product", batch, nulls)
         name = "curated.dim_product"
         merged = merge.upsert(
-            lake.ensure(name), dimensions.dim_product(log, run.run_ts), ["PRODUCT_ID"]
+            lake.ensure(name), dimensions.dim_product(log, run.run_ts), ["PRODUCT_ID"], unique=True
         )
         lake.replace(name, merged)
         return True
@@ -207,7 +207,7 @@ def build_fact_behaviour(lake: Lake, run: Run) -> bool:
         fact = facts.keyed_events(unique, run.run_ts)
         merge.upsert_partitions(
             lake.spark, lake.path(name), fact.select(*schemas.schema(name).names), facts.FACT_KEY,
-            schemas.PARTITIONING[name], _not_older,
+            schemas.PARTITIONING[name], _not_older, decided_by=["EVENT_DATETIME"],
         )
         return True
 
@@ -257,7 +257,7 @@ def analyse_rfm(lake: Lake, run: Run, rel_error: float | None = None) -> bool:
     def work(batch: int) -> bool:
         name = "curated.da_rfm_analysis"
         segments = rfm.rfm(lake.table("curated.fact_behaviour_log"), run.run_ts, rel_error)
-        lake.replace(name, merge.upsert(lake.ensure(name), segments, ["USER_ID"]))
+        lake.replace(name, merge.upsert(lake.ensure(name), segments, ["USER_ID"], unique=True))
         return True
 
     return _job(lake, run, "da_rfm", ["cur_fact_behaviour"], work)

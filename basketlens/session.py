@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +31,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     Only a local session may fall back to a temporary folder of this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
@@ -46,3 +48,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can reach it; a missing one is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def passing(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Like ``stored`` for as long as the block runs; the copy is removed if it ends well."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    yield df.sparkSession.read.schema(df.schema).parquet(path)
+    remove_path(df.sparkSession, path)

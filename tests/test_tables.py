@@ -72,10 +72,42 @@ def test_partition_upsert_leaves_other_partitions_alone(spark, tmp_path):
     writers.overwrite_path(first, path, ["d"])
     untouched = {f.name for f in (tmp_path / "t" / "d=0").iterdir()}
     source = spark.createDataFrame([(1, 1, 2), (101, 1, 2), (102, 7, 2)], "id bigint, d int, v int")
-    merge.upsert_partitions(spark, path, source, ["id", "d"], ["d"])
+    merge.upsert_partitions(spark, path, source, ["id", "d"], ["d"], decided_by=["d"])
     table = spark.read.parquet(path)
     assert table.count() == 42 and table.where("v = 2").count() == 3
     assert {f.name for f in (tmp_path / "t" / "d=0").iterdir()} == untouched
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+
+
+def test_partition_upsert_keeps_rows_without_a_partition_value(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.overwrite_path(spark.createDataFrame([(1, None), (2, None), (3, 5)], "id int, d int"), path, ["d"])
+    source = spark.createDataFrame([(9, None), (2, None)], "id int, d int")
+    merge.upsert_partitions(spark, path, source, ["id"], ["d"], decided_by=["id"])
+    assert rows(spark.read.schema("id int, d int").parquet(path)) == [(1, None), (2, None), (3, 5), (9, None)]
+
+
+def test_partition_upsert_prunes_the_target(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.overwrite_path(spark.range(400).selectExpr("id", "cast(id % 40 as int) d"), path, ["d"])
+    source = spark.createDataFrame([(1, 1), (2, 2)], "id bigint, d int")
+    touched = merge.touched_partitions(spark.read.parquet(path), source, ["d"])
+    assert touched.count() == 20
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "array_contains" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    touched.collect()
+    scan = touched.where("id >= 0").select("d").distinct()
+    assert rows(scan) == [(1,), (2,)]
+
+
+def test_partition_upsert_refuses_rows_that_could_move(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.overwrite_path(spark.createDataFrame([(1, 1)], "id int, d int"), path, ["d"])
+    twice = spark.createDataFrame([(1, 1), (1, 2)], "id int, d int")
+    with pytest.raises(ValueError, match="determine"):
+        merge.upsert_partitions(spark, path, twice, ["id", "d"], ["d"], decided_by=["id"])
+    with pytest.raises(ValueError, match="decided_by"):
+        merge.upsert_partitions(spark, path, twice, ["id"], ["d"], decided_by=["d"])
 
 
 def test_rewrite_moves_rows_between_partitions(spark, tmp_path):
@@ -227,8 +259,12 @@ def test_scratch_folder_follows_the_session(spark, monkeypatch):
         def get(self, key, default=None):
             return dict.get(self, key, default)
 
+    class Context:
+        getCheckpointDir = staticmethod(lambda: None)
+
     class Fake:
         conf = Conf({"spark.master": "spark://x", "spark.checkpoint.dir": "hdfs://shared/dir/"})
+        sparkContext = Context
 
     assert scratch_path(Fake, "n").startswith("hdfs://shared/dir/basketlens-n-")
     Fake.conf = Conf({"spark.master": "spark://x"})
