@@ -7,6 +7,7 @@ become text, and run-time stamps and hash keys are left out where SQL cannot kno
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from basketlens.operators import ledger as lg
 from basketlens.operators import merge, quality
 from basketlens.operators.ordering import keep_latest, latest_batch
 from basketlens.plans import dimensions, facts, forecast, history, rfm, weekly
-from basketlens.schemas import DQ_DDL
-from basketlens.session import configure, scratch_path, stored
+from basketlens.schemas import DQ_DDL, create_table_sql
+from basketlens.session import configure, make_folder, scratch_path, stored
 from basketlens.sources import readers, testdata, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,8 +178,14 @@ def fact_user_session(spark, sf_dir):
 
 @query
 def hash_keys(spark, sf_dir):
+    """Per product: one hash key, the seed where there is no product, and as many row keys as natural keys."""
     fact = facts.fact_behaviour_log(_dirty(spark, sf_dir), ETL_TS)
-    return fact.select("BEHAVIOUR_KEY", "PRODUCT_ID_FK", "PRODUCT_ID", "ACTION_ITEMS")
+    return fact.groupBy("PRODUCT_ID").agg(
+        F.countDistinct("PRODUCT_ID_FK").alias("PRODUCT_KEYS"),
+        F.when(F.col("PRODUCT_ID").isNull(), F.min("PRODUCT_ID_FK").cast("string")).alias("KEY_OF_NULL"),
+        F.countDistinct("BEHAVIOUR_KEY").alias("ROW_KEYS"),
+        F.count(F.lit(1)).alias("N"),
+    )
 
 
 @query
@@ -236,8 +243,19 @@ def rfm_quartiles(spark, sf_dir):
 
 @query
 def rfm_quartiles_approx(spark, sf_dir):
-    users = _users(spark, sf_dir)
-    return rfm.rfm_quartiles(users, rel_error=0.01)
+    """Whether the sketch's quartiles lie within the allowed rank error of the exact ones."""
+    users = stored(_users(spark, sf_dir), "values")
+    cuts = rfm.rfm_quartiles(users, rel_error=0.01)
+    near = {m: cuts.select(F.col(m)).scalar() for m in rfm.METRICS}
+    total = F.count(F.lit(1))
+    good = []
+    for m in rfm.METRICS:
+        value = F.col(m).cast("double")
+        for i, q in enumerate(rfm.QUARTILES):
+            cut = F.get(near[m], F.lit(i)).cast("double")
+            low, high = F.count_if(value < cut) / total, F.count_if(value <= cut) / total
+            good.append(((low <= q + 0.01) & (high >= q - 0.01)).alias(f"{m}_Q{i + 1}"))
+    return users.agg(*good)
 
 
 @query
@@ -445,6 +463,15 @@ def weekly_demand(spark, sf_dir):
     return comparable(weekly.weekly_demand(_sales_weeks(spark, sf_dir)))
 
 
+@query
+def weekly_demand_undated(spark, sf_dir):
+    """Purchases of some days have lost their date: they are left out, the rest stands."""
+    sales = testdata.lineitem_sales(spark, sf_dir)
+    dated = F.when(F.dayofmonth(F.to_date("EVENT_DATE")) != 13, F.col("EVENT_DATE"))
+    weeks = weekly.with_weeks(sales.withColumn("EVENT_DATE", dated))
+    return comparable(weekly.weekly_demand(weeks))
+
+
 @query
 def weekly_demand_by_cycle(spark, sf_dir):
     return comparable(weekly.weekly_demand(_sales_weeks(spark, sf_dir), by_cycle=True))
@@ -502,18 +529,22 @@ def time_split_recent(spark, sf_dir):
     return split.select(*weekly.CELL, "SPLIT")
 
 
-# --- forecasts: a small search budget, the whole tables ----------------------------------
+# --- forecasts: one published setting per model, the whole tables ---------------------------
 
-_SEARCH = forecast.Search(draws=2, folds=2, trees=3, depth=3)
+
+def _predicted(scored: DataFrame, models: list[str]) -> DataFrame:
+    """Whether there is a prediction and it is a possible one, in place of the model's number."""
+    good = {f"SALES_PREDICTION_{m}": F.coalesce(F.col(f"SALES_PREDICTION_{m}") >= 0, F.lit(False)) for m in models}
+    return scored.withColumns(good)
 
 
 def _forecast(model: str) -> Query:
     def build(spark, sf_dir):
         features = weekly.raw_features(_weeks(spark, sf_dir))
-        scored = forecast.forecast(features, [model], _SEARCH)
-        return comparable(scored.select(*weekly.CELL, "ACTUAL_SALES", f"SALES_PREDICTION_{model}"))
+        scored = forecast.forecast(features, [model], fixed=forecast.FIXED)
+        return _predicted(scored, [model]).select(*weekly.CELL, "ACTUAL_SALES", f"SALES_PREDICTION_{model}")
 
-    build.__name__ = f"forecast_{model.lower()}"
+    build.__name__ = f"forecast_{model.lower()}_fixed"
     return build
 
 
@@ -522,10 +553,16 @@ for _model in forecast.MODELS:
 
 
 @query
-def forecast_rmse(spark, sf_dir):
-    features = weekly.raw_features(_weeks(spark, sf_dir))
-    search = forecast.Search(draws=1, folds=2, trees=3, depth=3)
-    return forecast.holdout_rmse(forecast.forecast(features, ["GB", "RF"], search), ["GB", "RF"])
+def forecast_rmse_fixed(spark, sf_dir):
+    """Whether the forest beats the forecast that next week sells like the last."""
+    features = stored(weekly.raw_features(_weeks(spark, sf_dir)), "features")
+    scored = forecast.forecast(features, ["RF"], fixed=forecast.FIXED)
+    scored = scored.withColumn("SALES_PREDICTION_LAST__log", F.col("SALES_OCC_PREV_1W"))
+    errors = forecast.holdout_rmse(scored, ["RF", "LAST"])
+    return errors.agg(
+        F.count(F.lit(1)).alias("MODELS"),
+        (F.max(F.when(F.col("MODEL") == "RF", F.col("RMSE"))) < F.max(F.when(F.col("MODEL") == "LAST", F.col("RMSE")))).alias("BETTER"),
+    )
 
 
 @query
@@ -538,9 +575,14 @@ def rmse_of_previous_week(spark, sf_dir):
 
 
 @query
-def prediction_table(spark, sf_dir):
-    search = forecast.Search(draws=1, folds=2, trees=3, depth=3)
-    return comparable(forecast.sales_prediction(_weeks(spark, sf_dir), search=search))
+def prediction_table_fixed(spark, sf_dir):
+    """The prediction table with the forest's forecast, in the order it is presented in."""
+    features = stored(weekly.raw_features(_weeks(spark, sf_dir)), "features")
+    scored = forecast.forecast(features, ["RF"], fixed=forecast.FIXED)
+    elasticity = weekly.elasticity_simple(weekly.weekly_demand(_sales_weeks(spark, sf_dir)))
+    table = forecast.prediction_table(features, scored, elasticity)
+    flag = F.when(F.col("SALES_PREDICTION_RF").isNotNull(), F.col("SALES_PREDICTION_RF") >= 0)
+    return forecast.in_order(comparable(table.withColumn("SALES_PREDICTION_RF", flag)))
 
 
 @query
@@ -652,6 +694,49 @@ def source_audit(spark, sf_dir):
     return audits[0].unionByName(audits[1])
 
 
+@query
+def landing_folders(spark, sf_dir):
+    """Audit rows of a folder with several CSV files, an empty folder and a missing one."""
+    path = scratch_path(spark, "landing")
+    writers.write_csv(_landed_events(spark, sf_dir).repartition(4), f"{path}/full")
+    make_folder(spark, f"{path}/empty")
+    run = {"batch": 7, "date": "20240201", "start_time": ETL_TS, "item": "hist_behaviour_log"}
+    audits = []
+    for name in ("full", "empty", "missing"):
+        source = readers.read_source(spark, f"{path}/{name}", "csv", multiline=False)
+        if source.rows is not None:
+            audits.append(readers.audit_frame(source.rows, file=name, **run))
+        else:
+            audits.append(readers.audit_row(spark, file=name, count=None, **run))
+    return audits[0].unionByName(audits[1]).unionByName(audits[2])
+
+
+@query
+def catalog_tables(spark, sf_dir):
+    """Tables of the catalog: created, appended to twice, overwritten, and registered anew."""
+    path = scratch_path(spark, "catalog")
+    database = f"sinks_{path.rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}/db'")
+    log = testdata.behaviour_log(spark, sf_dir)
+    for _ in range(2):
+        writers.create_or_append_table(log, f"{database}.audit")
+    for batch in (1, 2):
+        rows = log.where(F.col("BATCHNUMBER") == batch)
+        writers.overwrite_table(rows, f"{database}.overwritten", f"{path}/overwritten", ["EVENT_TYPE"])
+    report = quality.check_null(_dirty(spark, sf_dir), _LOG, ["USER_ID"], ["event_id"], **_CHECK)
+    for kept in (f"{path}/stale", f"{path}/bad"):
+        writers.append_quarantine(report, kept)
+        writers.quarantine_table(spark, f"{database}.quarantine", kept)
+    writers.ensure_path(spark, log.schema, f"{path}/empty", ["EVENT_TYPE"])
+    writers.ensure_path(spark, log.schema, f"{path}/empty", ["EVENT_TYPE"])
+    spark.sql(create_table_sql("curated.fact_target", f"{path}/target").replace("curated.", f"{database}."))
+    counts = {name: spark.table(f"{database}.{name}") for name in ("audit", "overwritten", "quarantine")}
+    counts["empty"] = spark.read.schema(log.schema).parquet(f"{path}/empty")
+    counts["created"] = spark.createDataFrame([(spark.catalog.tableExists(f"{database}.fact_target"),)], "made boolean").where("made")
+    parts = [df.agg(F.lit(name).alias("NAME"), F.count(F.lit(1)).alias("N")) for name, df in counts.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def log_files(spark, sf_dir):
     """One scan over equally named CSV files in many folders."""

@@ -192,6 +192,8 @@ _VIEWS |= {
     "sale_weeks": _weeks("sales"),
     "fact_weeks": _weeks("fact"),
     "sale_weekly": _weekly("sale_weeks"),
+    "undated_weeks": "SELECT * FROM sale_weeks WHERE day(EVENT_DATE) <> 13",
+    "undated_weekly": _weekly("undated_weeks"),
     "sale_weekly_cycle": _weekly("sale_weeks", cycle=True),
     "fact_weekly": _weekly("fact_weeks"),
     "sale_demand": _demand("sale_weekly", "INNER"),
@@ -409,6 +411,13 @@ SELECT {_time("date_trunc('day', last)", 'DATE_KEY')}, USER_SESSION,
   round((floor(epoch(last)) - floor(epoch(first))) / 60 + 1e-7, 4) AS USER_SESSION_DURATION, {_parts('last')}
 FROM (SELECT USER_SESSION, max(EVENT_DATETIME) AS last, min(EVENT_DATETIME) AS first
       FROM fact GROUP BY USER_SESSION)""",
+    "hash_keys": """
+SELECT PRODUCT_ID, 1::BIGINT AS PRODUCT_KEYS, CASE WHEN PRODUCT_ID IS NULL THEN '42' END AS KEY_OF_NULL,
+  CASE WHEN PRODUCT_ID IS NULL THEN 1
+    ELSE count(DISTINCT (EVENT_TIME, EVENT_TYPE, USER_ID, USER_SESSION, ACTION_ITEMS)) END AS ROW_KEYS, count(*) AS N
+FROM (SELECT *, row_number() OVER (PARTITION BY EVENT_TIME, EVENT_TYPE, USER_ID, ACTION_ITEMS
+        ORDER BY USER_SESSION, PRODUCT_ID NULLS LAST, PRICE NULLS LAST) AS pick FROM numbered)
+WHERE pick = 1 AND NOT (EVENT_TYPE = 'purchase' AND PRICE <= 0) GROUP BY PRODUCT_ID""",
     "hash_key_consistency": """
 SELECT coalesce(split_part(CATEGORY_CODE, '.', 1), 'N/A') AS CATEGORY, EVENT_TYPE, count(*) AS N
 FROM log WHERE BATCHNUMBER = 2 AND NOT (EVENT_TYPE = 'purchase' AND PRICE <= 0)
@@ -427,6 +436,10 @@ SELECT USER_ID, RECENCY, FREQUENCY, CAST(MONETARY AS DOUBLE) AS MONETARY FROM us
         f"CAST({v}[{i}] AS DOUBLE) AS {n}_Q{i}"
         for n, v in (("RECENCY", "r"), ("FREQUENCY", "f"), ("MONETARY", "m")) for i in (1, 2, 3)
     ) + " FROM cuts",
+    "rfm_quartiles_approx": "SELECT " + ", ".join(
+        f"{v}[{i}] IS NOT NULL AS {n}_Q{i}"
+        for n, v in (("RECENCY", "r"), ("FREQUENCY", "f"), ("MONETARY", "m")) for i in (1, 2, 3)
+    ) + " FROM cuts",
     "rfm_label_counts": """
 SELECT RFM_LABEL, count(*) AS CUSTOMERS, CAST(min(RFM_SCORE) AS INTEGER) AS LOWEST_SCORE
 FROM labelled GROUP BY RFM_LABEL""",
@@ -499,6 +512,7 @@ SELECT PRODUCT_ID, WEEK_NUMBER, DAYS_PURCHASED, round(AVG_PRICE + 1e-7, 4) AS AV
   round(SALES + 1e-7, 4) AS SALES, PREVIOUS_WEEK_NUMBER FROM sale_weekly""",
     "previous_week_join": _demand_out(_demand("fact_weekly", "LEFT")),
     "weekly_demand": _demand_out("SELECT * FROM sale_demand"),
+    "weekly_demand_undated": _demand_out(_demand("undated_weekly", "INNER")),
     "weekly_demand_by_cycle": _demand_out(
         _demand(
             "sale_weekly_cycle", "INNER",
@@ -529,6 +543,26 @@ WHERE age <= 4""",
     "rmse_of_previous_week": """
 SELECT 'LAST' AS MODEL, round(sqrt(avg(pow(SALES_OCCURRENCE - SALES_OCC_PREV_1W, 2))), 4) AS RMSE
 FROM features""",
+    "forecast_xg_fixed": """
+SELECT PRODUCT_ID, WEEK_NUMBER_CYCLE, WEEK_NUMBER, SALES_OCCURRENCE AS ACTUAL_SALES, true AS SALES_PREDICTION_XG
+FROM purchases, last_week WHERE (WEEK_NUMBER_CYCLE, WEEK_NUMBER) = w""",
+    "forecast_gb_fixed": """
+SELECT PRODUCT_ID, WEEK_NUMBER_CYCLE, WEEK_NUMBER, SALES_OCCURRENCE AS ACTUAL_SALES, true AS SALES_PREDICTION_GB
+FROM purchases, last_week WHERE (WEEK_NUMBER_CYCLE, WEEK_NUMBER) = w""",
+    "forecast_rf_fixed": """
+SELECT PRODUCT_ID, WEEK_NUMBER_CYCLE, WEEK_NUMBER, SALES_OCCURRENCE AS ACTUAL_SALES, true AS SALES_PREDICTION_RF
+FROM purchases, last_week WHERE (WEEK_NUMBER_CYCLE, WEEK_NUMBER) = w""",
+    "forecast_rmse_fixed": """
+SELECT 2::BIGINT AS MODELS, count(*) > 0 AS BETTER FROM purchases""",
+    "prediction_table_fixed": """
+SELECT CAST(WEEK_NUMBER_CYCLE AS BIGINT) AS WEEK_NUMBER_CYCLE, CAST(WEEK_NUMBER AS BIGINT) AS WEEK_NUMBER,
+  p.PRODUCT_ID, round(MEAN_PRICE + 1e-7, 4) AS MEAN_PRICE, SALES_OCCURRENCE AS ACTUAL_SALES,
+  CAST(NULL AS BIGINT) AS SALES_PREDICTION_XG, CAST(NULL AS BIGINT) AS SALES_PREDICTION_GB,
+  CASE WHEN test THEN true END AS SALES_PREDICTION_RF,
+  CASE WHEN test THEN ELASTICITY END AS ELASTICITY, CASE WHEN test THEN R2_SCORE END AS LR_R2_SCORE,
+  CASE WHEN test THEN COEFFICIENT_PVALUE END AS COEFFICIENT_PVALUE
+FROM (SELECT *, (WEEK_NUMBER_CYCLE, WEEK_NUMBER) = w AS test FROM purchases, last_week) p
+LEFT JOIN (""" + _elasticity("line", 2) + """) e ON e.PRODUCT_ID = p.PRODUCT_ID""",
     "prediction_table_history": """
 SELECT CAST(WEEK_NUMBER_CYCLE AS BIGINT) AS WEEK_NUMBER_CYCLE, CAST(WEEK_NUMBER AS BIGINT) AS WEEK_NUMBER,
   p.PRODUCT_ID, round(MEAN_PRICE + 1e-7, 4) AS MEAN_PRICE, SALES_OCCURRENCE AS ACTUAL_SALES,
@@ -585,6 +619,18 @@ SELECT '7' AS batchID, '20240201' AS "date", '2024-02-01 00:00:00' AS startTime,
   'hist_behaviour_log' AS notebook, CAST(count(*) AS VARCHAR) AS "count", 'events' AS file, 'Y' AS exist
 FROM events
 UNION ALL SELECT '7', '20240201', '2024-02-01 00:00:00', 'hist_behaviour_log', 'N/A', 'no_such_table', 'N'""",
+    "landing_folders": """
+SELECT '7' AS batchID, '20240201' AS "date", '2024-02-01 00:00:00' AS startTime,
+  'hist_behaviour_log' AS notebook, CAST(count(*) AS VARCHAR) AS "count", 'full' AS file, 'Y' AS exist
+FROM events
+UNION ALL SELECT '7', '20240201', '2024-02-01 00:00:00', 'hist_behaviour_log', 'N/A', 'empty', 'N'
+UNION ALL SELECT '7', '20240201', '2024-02-01 00:00:00', 'hist_behaviour_log', 'N/A', 'missing', 'N'""",
+    "catalog_tables": """
+SELECT 'audit' AS NAME, 2 * count(*) AS N FROM log
+UNION ALL SELECT 'overwritten', count(*) FILTER (BATCHNUMBER = 2) FROM log
+UNION ALL SELECT 'quarantine', count(*) FILTER (USER_ID IS NULL) FROM dirty
+UNION ALL SELECT 'empty', 0 FROM log WHERE event_id = 0
+UNION ALL SELECT 'created', 1 FROM log WHERE event_id = 0""",
     "log_files": "SELECT item, count(*) AS n, max(endTime) AS endTime FROM copies GROUP BY item",
     "partitioned_append": f"""
 SELECT {_parts('EVENT_TIME')}, b.BATCHNUMBER, count(*) AS N

@@ -5,13 +5,15 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,21 +54,37 @@ SPACE_RF = {
     "numTrees": [100, 300, 500, 1000],
     "maxDepth": [5, 10, 15, 20],
     "minInstancesPerNode": [1, 2, 4],
-    "featureSubsetStrategy": ["auto", "sqrt", "0.5"],
+    "featureSubsetStrategy": ["all", "sqrt", "0.5"],
     "bootstrap": [True, False],
 }
+SPACES = {"XG": SPACE_XG, "GB": SPACE_GB, "RF": SPACE_RF}
+
+# One setting out of each space, for a fit without a search.
+FIXED = {
+    "XG": {
+        "maxIter": 500, "stepSize": 0.1, "maxDepth": 3, "minInstancesPerNode": 1,
+        "subsamplingRate": 1.0, "featureSubsetStrategy": "1.0", "minInfoGain": 0.0,
+    },
+    "GB": {
+        "maxIter": 500, "stepSize": 0.1, "maxDepth": 3, "minInstancesPerNode": 1,
+        "subsamplingRate": 1.0, "featureSubsetStrategy": "all",
+    },
+    "RF": {
+        "numTrees": 100, "maxDepth": 5, "minInstancesPerNode": 1, "featureSubsetStrategy": "all",
+        "bootstrap": True,
+    },
+}
 
 
 @dataclass(frozen=True)
 class Search:
-    """Budget of a random search. ``trees`` replaces the searched ensemble sizes."""
+    """Budget and spaces of a random search, by model."""
 
     draws: int = 20
     folds: int = 5
     seed: int = 42
     parallelism: int = 4
-    trees: int | None = None
-    depth: int | None = None
+    spaces: Mapping[str, Mapping[str, Sequence]] = field(default_factory=lambda: SPACES)
 
 
 def with_vectors(features: DataFrame) -> DataFrame:
@@ -83,12 +101,6 @@ def with_vectors(features: DataFrame) -> DataFrame:
 
 
 def _draws(estimator: Estimator, space: Mapping[str, Sequence], search: Search) -> list[dict]:
-    space = dict(space)
-    for name in ("maxIter", "numTrees"):
-        if search.trees is not None and name in space:
-            space[name] = [search.trees]
-    if search.depth is not None:
-        space["maxDepth"] = [search.depth]
     # Combinations are numbered, so that drawing distinct numbers draws without replacement.
     combinations = math.prod(len(values) for values in space.values())
     numbers = random.Random(search.seed).sample(
@@ -113,76 +125,95 @@ def _bucket(buckets: int, seed: int):
     return F.pmod(F.xxhash64(*CELL, F.lit(seed)), F.lit(buckets)).cast("int")
 
 
-def fit_boosted_a(train: DataFrame, search: Search = Search()) -> Model:
-    """Boosted trees with early stopping on a fifth of the training rows, k-fold search."""
-    model = GBTRegressor(
-        labelCol=LABEL, seed=search.seed, validationIndicatorCol="__holdout", validationTol=0.001
+def boosted_a(search: Search) -> Estimator:
+    """Boosted trees that stop when a fifth of the training rows, held out, no longer gain.
+
+    There is no waiting for a number of rounds: it stops at the first step without a gain
+    worth mentioning, hence the small tolerance.
+    """
+    return GBTRegressor(
+        labelCol=LABEL, seed=search.seed, validationIndicatorCol="__holdout", validationTol=1e-5
     )
-    rows = train.withColumns(
+
+
+def boosted_b(search: Search) -> Estimator:
+    return GBTRegressor(labelCol=LABEL, seed=search.seed)
+
+
+def forest(search: Search) -> Estimator:
+    return RandomForestRegressor(labelCol=LABEL, seed=search.seed)
+
+
+ESTIMATORS: dict[str, Callable[[Search], Estimator]] = {"XG": boosted_a, "GB": boosted_b, "RF": forest}
+
+
+def _marked(train: DataFrame, search: Search) -> DataFrame:
+    return train.withColumns(
         {
             "__holdout": _bucket(5, search.seed + 1) == 0,
             "__fold": _bucket(search.folds, search.seed),
         }
     )
-    return _cross_validated(model, SPACE_XG, rows, search)
 
 
-def fit_forest(train: DataFrame, search: Search = Search()) -> Model:
-    """Random forest, k-fold search."""
-    model = RandomForestRegressor(labelCol=LABEL, seed=search.seed)
-    rows = train.withColumn("__fold", _bucket(search.folds, search.seed))
-    return _cross_validated(model, SPACE_RF, rows, search)
+def fit_fixed(name: str, train: DataFrame, settings: Mapping, search: Search = Search()) -> Model:
+    """One fit with explicit settings."""
+    model = ESTIMATORS[name](search)
+    return model.fit(_marked(train, search), {model.getParam(k): v for k, v in settings.items()})
 
 
-def _cross_validated(
-    model: Estimator, space: Mapping[str, Sequence], rows: DataFrame, search: Search
-) -> Model:
+def fit_crossed(name: str, train: DataFrame, search: Search = Search()) -> Model:
+    """The best of the drawn settings by k-fold cross-validation."""
+    model = ESTIMATORS[name](search)
     cv = CrossValidator(
         estimator=model,
-        estimatorParamMaps=_draws(model, space, search),
+        estimatorParamMaps=_draws(model, search.spaces[name], search),
         evaluator=_rmse(),
         numFolds=search.folds,
         foldCol="__fold",
         parallelism=search.parallelism,
     )
-    return cv.fit(rows).bestModel
+    return cv.fit(_marked(train, search)).bestModel
 
 
-def fit_boosted_b(train: DataFrame, search: Search = Search()) -> Model:
-    """Boosted trees, searched on an expanding window.
+def fit_expanding(name: str, train: DataFrame, search: Search = Search()) -> Model:
+    """The best of the drawn settings on an expanding window.
 
     The training weeks are cut into ``folds`` + 1 stretches in time order; every draw is
-    fitted on the stretches so far and judged on the next. Only the list of distinct weeks,
-    which the calendar bounds, is read to cut them.
+    fitted on the stretches so far and judged on the next, ``parallelism`` fits at a time. Only the list
+    of distinct weeks, which the calendar bounds, is read to cut them.
     """
-    model = GBTRegressor(labelCol=LABEL, seed=search.seed)
+    model = ESTIMATORS[name](search)
     weeks = [tuple(r) for r in train.select(*WEEK).distinct().orderBy(*WEEK).collect()]
-    draws = _draws(model, SPACE_GB, search)
-    stretches = min(search.folds, len(weeks) - 1)
-    if stretches < 1 or len(draws) == 1:
-        return model.fit(train, draws[0])
-    size = len(weeks) // (stretches + 1)
-    starts = [weeks[len(weeks) - size * (stretches - i)] for i in range(stretches)]
+    draws = _draws(model, search.spaces[name], search)
+    if len(weeks) <= search.folds:
+        raise ValueError(f"{search.folds} folds need more than {len(weeks)} training weeks")
+    size = len(weeks) // (search.folds + 1)
+    starts = [weeks[len(weeks) - size * (search.folds - i)] for i in range(search.folds)]
 
     def at(week: tuple) -> Column:
         return F.struct(*[F.lit(n).alias(c) for n, c in zip(week, WEEK)])
 
     here = F.struct(*WEEK)
-    scores = [0.0] * len(draws)
-    for i, start in enumerate(starts):
-        known = train.where(here < at(start))
-        ahead = train.where(here >= at(start))
+
+    def error(task: tuple[int, int]) -> float:
+        i, j = task
+        ahead = train.where(here >= at(starts[i]))
         if i + 1 < len(starts):
             ahead = ahead.where(here < at(starts[i + 1]))
-        for j, draw in enumerate(draws):
-            scores[j] += _rmse().evaluate(model.fit(known, draw).transform(ahead))
+        return _rmse().evaluate(model.fit(train.where(here < at(starts[i])), draws[j]).transform(ahead))
+
+    tasks = [(i, j) for i in range(len(starts)) for j in range(len(draws))]
+    with ThreadPool(search.parallelism) as pool:
+        errors = pool.map(inheritable_thread_target(train.sparkSession)(error), tasks, chunksize=1)
+    scores = [sum(e for (_, k), e in zip(tasks, errors) if k == j) for j in range(len(draws))]
     return model.fit(train, draws[scores.index(min(scores))])
 
 
-MODELS: dict[str, Callable[[DataFrame, Search], Model]] = {
-    "XG": fit_boosted_a,
-    "GB": fit_boosted_b,
-    "RF": fit_forest,
+MODELS: dict[str, Callable[[str, DataFrame, Search], Model]] = {
+    "XG": fit_crossed,
+    "GB": fit_expanding,
+    "RF": fit_crossed,
 }
 
 
@@ -197,20 +228,26 @@ def forecast(
     models: Sequence[str] = ("XG", "GB", "RF"),
     search: Search = Search(),
     *,
+    fixed: Mapping[str, Mapping] | None = None,
     train_weeks: Sequence[int] | None = (4, 3, 2, 1),
     last_n: int | None = None,
 ) -> DataFrame:
     """Predictions of the test week. ``features`` are raw counts (``raw_features``).
 
+    With ``fixed``, settings by model, each model is fitted once and nothing is searched.
+
     The weekly rows, one per product and week, are stored for the many fits of the search,
     so that neither a fit nor a lost executor goes back to the events.
     """
     split = time_split(features, train_weeks, last_n).withColumn("ACTUAL_SALES", F.col(LABEL))
     rows = stored(with_vectors(log_counts(split)), "vectors")
+    # A few rows per product: one task for every 100,000 of them serves the many passes best.
     train = rows.where("SPLIT = 'train'")
+    train = train.coalesce(max(1, math.ceil(train.count() / 100_000)))
     scored = rows.where("SPLIT = 'test'")
     for name in models:
-        scored = predict(MODELS[name](train, search), scored, f"SALES_PREDICTION_{name}")
+        model = fit_fixed(name, train, fixed[name], search) if fixed else MODELS[name](name, train, search)
+        scored = predict(model, scored, f"SALES_PREDICTION_{name}")
     return scored
 
 
@@ -247,6 +284,8 @@ def prediction_table(features: DataFrame, scored: DataFrame, elasticity: DataFra
         F.col("R2_SCORE").alias("LR_R2_SCORE"),
         "COEFFICIENT_PVALUE",
     )
+    missing = [c for c in OUTPUT if c.startswith("SALES_PREDICTION") and c not in scored.columns]
+    scored = scored.withColumns({c: F.lit(None).cast("long") for c in missing})
     predicted = scored.join(known, "PRODUCT_ID", "left").select(*OUTPUT)
     last = features.agg(F.max(F.struct(*WEEK))).scalar()
     past = features.where(F.struct(*WEEK) < last).select(
@@ -257,6 +296,11 @@ def prediction_table(features: DataFrame, scored: DataFrame, elasticity: DataFra
     return table.select(*[F.col(c).cast(types[c]) if c in types else F.col(c) for c in OUTPUT])
 
 
+def in_order(table: DataFrame) -> DataFrame:
+    """The prediction table as it is presented: by cycle, week and product."""
+    return table.orderBy(*WEEK, "PRODUCT_ID")
+
+
 def sales_prediction(
     events: DataFrame,
     products: Products = None,

@@ -121,11 +121,16 @@ def _land(
     path: str,
     kind: str,
     shape: Callable[[DataFrame, int], DataFrame],
+    schema: str | None = None,
+    **options,
 ) -> bool:
-    """Append a landed source to its history table, counting it while it is written."""
+    """Append a landed source to its history table, counting it while it is written.
+
+    A missing or empty folder ends the job with an audit row that says so.
+    """
 
     def work(batch: int) -> bool:
-        source = readers.read_source(lake.spark, path, kind)
+        source = readers.read_source(lake.spark, path, kind, schema, **options)
         if source.rows is not None:
             writers.append_partitioned(shape(source.rows, batch), lake.path(table))
         audit = readers.audit_row(
@@ -138,17 +143,23 @@ def _land(
     return _job(lake, run, item, [], work)
 
 
-def land_behaviour_log(lake: Lake, run: Run, path: str, kind: str = "csv") -> bool:
+def land_behaviour_log(lake: Lake, run: Run, path: str, kind: str = "csv", **options) -> bool:
+    """Large CSV files are read by many tasks; ``multiline=True`` is for values with line breaks.
+
+    JSON is read with the known columns, which saves a pass; CSV takes them from its header.
+    """
+    if kind == "csv":
+        options.setdefault("multiline", False)
     return _land(
         lake, run, "hist_behaviour_log", "history.behaviour_log", path, kind,
-        history.hist_behaviour_log,
+        history.hist_behaviour_log, schemas.LANDED_BEHAVIOUR_DDL if kind == "json" else None, **options,
     )
 
 
-def land_sales_target(lake: Lake, run: Run, path: str, kind: str = "csv") -> bool:
+def land_sales_target(lake: Lake, run: Run, path: str, kind: str = "csv", **options) -> bool:
     return _land(
         lake, run, "hist_sales_target", "history.sales_target", path, kind,
-        lambda rows, batch: history.hist_sales_target(rows, batch, run.run_ts[:10]),
+        lambda rows, batch: history.hist_sales_target(rows, batch, run.run_ts[:10]), **options,
     )
 
 

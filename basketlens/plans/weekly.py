@@ -75,13 +75,13 @@ def _only(df: DataFrame, products: Products) -> DataFrame:
 def weekly_sales(events: DataFrame, by_cycle: bool = False) -> DataFrame:
     """Per product and week: days with a purchase, mean of daily mean prices, sales scaled
     to seven days. Equal week numbers of different years fall together unless
-    ``by_cycle``.
+    ``by_cycle``. Purchases without a date are dropped.
 
     The daily rows, at most one per product and calendar day, are laid out by product; the
     weeks, the look-back and the regressions over them then need no further shuffle.
     """
     week = WEEK if by_cycle else ["WEEK_NUMBER"]
-    purchases = events.where(F.col("EVENT_TYPE") == "purchase")
+    purchases = events.where((F.col("EVENT_TYPE") == "purchase") & F.col("EVENT_DATE").isNotNull())
     daily = purchases.groupBy("PRODUCT_ID", "EVENT_DATE").agg(
         F.count("EVENT_TYPE").alias("SALES"),
         F.avg("PRICE").alias("AVG_PRICE"),

@@ -70,10 +70,16 @@ _DDL = {
         "ACTUAL_SALES BIGINT, SALES_PREDICTION_XG BIGINT, SALES_PREDICTION_GB BIGINT, "
         "SALES_PREDICTION_RF BIGINT, ELASTICITY DOUBLE, LR_R2_SCORE DOUBLE, "
         "COEFFICIENT_PVALUE DOUBLE",
-        ("PRODUCT_ID", "WEEK_NUMBER"),
+        ("WEEK_NUMBER_CYCLE", "WEEK_NUMBER"),
     ),
 }
 
+# A behaviour log as it lands: all text.
+LANDED_BEHAVIOUR_DDL = (
+    "event_time STRING, event_type STRING, product_id STRING, category_id STRING, "
+    "category_code STRING, brand STRING, price STRING, user_id STRING, user_session STRING"
+)
+
 PARTITIONING: dict[str, tuple[str, ...]] = {name: parts for name, (_, parts) in _DDL.items()}
 DATABASES = ("tempdb", "landing", "history", "curated")
 

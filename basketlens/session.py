@@ -50,6 +50,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create an empty folder wherever Spark can reach it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder wherever Spark can reach it; a missing one is fine."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

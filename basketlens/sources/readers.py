@@ -56,7 +56,7 @@ READERS = {"csv": read_csv, "json": read_json, "parquet": read_parquet}
 
 @dataclass
 class SourceRead:
-    """A scanned source. ``rows`` is None when the path does not exist.
+    """A scanned source. ``rows`` is None when the path does not exist or holds no file.
 
     The row count is observed while ``rows`` is being used, so it costs no pass of its
     own; ``counted`` is available after the first action on ``rows``.
@@ -71,17 +71,23 @@ class SourceRead:
 
 
 def read_source(
-    spark: SparkSession, path: str, kind: str, schema: StructType | str | None = None
+    spark: SparkSession, path: str, kind: str, schema: StructType | str | None = None, **options
 ) -> SourceRead:
-    """Scan a source by format name, counting its rows in the same pass."""
+    """Scan a source by format name, counting its rows in the same pass.
+
+    ``options`` go to the reader of that format. Without a schema an empty folder shows when Spark
+    looks for one; with a schema the number of files says it.
+    """
     if kind not in READERS:
         raise ValueError(f"unknown source format {kind!r}, expected one of {sorted(READERS)}")
     try:
-        df = READERS[kind](spark, path, schema)
+        df = READERS[kind](spark, path, schema, **options)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return SourceRead(None, None)
         raise
+    if schema is not None and not df.inputFiles():
+        return SourceRead(None, None)
     seen = Observation()
     return SourceRead(df.observe(seen, F.count(F.lit(1)).alias("rows")), seen)
 

@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from basketlens.plans import forecast, weekly
 
-SEARCH = forecast.Search(draws=2, folds=2, trees=2, depth=2)
+TREES = {"maxIter": [2], "numTrees": [2], "maxDepth": [2]}
+SMALL = {m: {k: TREES.get(k, v) for k, v in space.items()} for m, space in forecast.SPACES.items()}
+SEARCH = forecast.Search(draws=2, folds=2, spaces=SMALL)
 
 
 @pytest.fixture(scope="module")

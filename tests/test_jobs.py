@@ -82,7 +82,9 @@ def test_two_batches(spark, tmp_path):
     assert jobs.analyse_rfm(lake, second, rel_error=0.01)
     assert lake.table("curated.da_rfm_analysis").count() == 6
 
-    search = forecast.Search(draws=1, folds=2, trees=2, depth=2)
+    small = {"maxIter": [2], "numTrees": [2], "maxDepth": [2]}
+    spaces = {m: {k: small.get(k, v) for k, v in space.items()} for m, space in forecast.SPACES.items()}
+    search = forecast.Search(draws=2, folds=2, spaces=spaces)
     assert jobs.predict_sales(lake, second, search=search)
     predicted = lake.table("curated.ml_sales_prediction")
     assert predicted.where("SALES_PREDICTION_XG is not null").select("WEEK_NUMBER").distinct().collect() == [(5,)]
