@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,61 +38,49 @@ def keep_latest(
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     weight: str,
     out: str,
     *,
-    spread_by: Column,
-    sizes_from: DataFrame | None = None,
-    hot_rows: int = 1_000_000,
-    hot_keys: int = 10_000,
+    levels: Sequence[Mapping[str, Column]],
 ) -> DataFrame:
-    """Running sum of ``weight`` within ``keys`` following ``order``.
-
-    Keys must not be NULL and ``order`` must start with something that ``spread_by``
-    rounds down. An ordinary key is one window group. The ``hot_keys`` largest keys among
-    those with more than ``hot_rows`` rows are spread over one window group per
-    ``spread_by`` value, and the totals of the groups before are added afterwards; any
-    further key then has at most 1/``hot_keys`` of all rows. ``hot_keys`` is also the bound
-    on the one broadcast below. Totals per group are pre-aggregated and joined by shuffle.
-
-    Keys are sized by counting ``sizes_from``, a frame with at least the rows of ``df``;
-    give the input of an aggregate that ``df`` is the output of, so that sizing takes a
-    scan of the keys instead of a second run of that aggregate.
+    """Running sum of ``weight`` within ``keys`` following the columns ``order`` (ascending, NULLs last).
+
+    Every key is cut the same way, whatever its size. ``levels`` are cuts of the order from
+    coarse to fine, each a set of named columns by which the rows of the level above are
+    ordered and grouped. Rows are summed up within their finest group alone; the totals of the
+    groups before it are added level by level, from tables that are partial aggregates of
+    the rows. So the largest window group is the largest number of parts of one group, not the largest key.
+    Keys must not be NULL.
     """
-    hot = (
-        (df if sizes_from is None else sizes_from)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_rows)
-        .orderBy(F.desc("__rows"), *keys)
-        .limit(hot_keys)
-        .select(*keys, F.lit(True).alias("__hot"))
-    )
-    tagged = df.join(F.broadcast(hot), list(keys), "left").withColumn(
-        "__segment", F.when(F.col("__hot"), spread_by)
-    )
-    segment = [*keys, "__segment"]
-    inside = Window.partitionBy(*segment).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("__segment").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    total = F.sum(weight).over(inside)
-    # Totals come from numbered rows as well: needing the same columns of ``df`` as the main
-    # branch, they share its shuffle and only the rows of hot keys are moved once more.
-    offsets = (
-        tagged.where("__hot")
-        .withColumn("__total", total)
-        .groupBy(*segment)
-        .agg(F.max("__total").alias("__total"))
-        .select(*segment, F.sum("__total").over(before).alias("__before"))
-    )
-    return (
-        tagged.withColumn(out, total)
-        .join(offsets, segment, "left")
-        .withColumn(out, F.col(out) + F.coalesce("__before", F.lit(0)))
-        .drop("__hot", "__segment", "__before")
-    )
+    cut = df.withColumns({name: column for level in levels for name, column in level.items()})
+    groups = [list(keys)]
+    for level in levels:
+        groups.append([*groups[-1], *level])
+    finest = Window.partitionBy(*groups[-1]).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    inside = F.sum(weight).over(finest.rowsBetween(Window.unboundedPreceding, 0))
+    offsets = None
+    totals = cut.groupBy(*groups[-1]).agg(F.sum(weight).alias("__total"))
+    for level, (upper, group) in reversed(list(zip(levels, zip(groups, groups[1:])))):
+        parts = totals if group == groups[-1] else totals.groupBy(*group).agg(F.sum("__total").alias("__total"))
+        walk = Window.partitionBy(*upper).orderBy(*[F.col(c).asc_nulls_last() for c in level])
+        before = F.coalesce(F.sum("__total").over(walk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        own = parts.select(*group, before.alias("__before"))
+        if offsets is None:
+            offsets = own
+        else:
+            coarser = own.withColumnRenamed("__before", "__more")
+            offsets = _matched(offsets, coarser, group).withColumn("__before", F.col("__before") + F.col("__more")).drop("__more")
+    numbered = _matched(cut.withColumn("__inside", inside), offsets, groups[-1])
+    made = [name for level in levels for name in level if name not in df.columns]
+    return numbered.withColumn(out, F.col("__inside") + F.col("__before")).drop("__inside", "__before", *made)
+
+
+def _matched(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Inner join on columns of one name, NULLs equal."""
+    renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in columns})
+    same = [F.col(c).eqNullSafe(F.col(f"__right_{c}")) for c in columns]
+    return left.join(renamed, same).drop(*[f"__right_{c}" for c in columns])
 
 
 def repeat_rows(

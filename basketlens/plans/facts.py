@@ -14,13 +14,13 @@ from basketlens.functions.columns import (
 )
 from basketlens.operators.ordering import keep_latest, latest_batch, repeat_rows, running_total
 from basketlens.operators.quality import no_null
+from basketlens.session import stored
 
 SESSION = ["USER_ID", "USER_SESSION"]
 FACT_KEY = ["EVENT_DATETIME", "EVENT_TYPE", "USER_ID", "USER_SESSION", "ACTION_ITEMS"]
 ACTION_KEY = ["EVENT_TIME", "EVENT_TYPE", "USER_ID", "ACTION_ITEMS"]
 TIE_BREAK = ["USER_SESSION", "PRODUCT_ID", "PRICE"]
 _RAW = ["EVENT_TIME", "EVENT_TYPE", "PRODUCT_ID", "PRICE", *SESSION]
-_ORDER = ["EVENT_TIME", "EVENT_TYPE", "PRODUCT_ID", "PRICE"]
 
 
 def usable_events(history: DataFrame, latest_only: bool = True) -> DataFrame:
@@ -60,22 +60,22 @@ def dedupe_views(events: DataFrame) -> DataFrame:
     return repeat_rows(collapsed, "COPIES", "LAST", "N", keys=SESSION).drop("N").select(*_RAW)
 
 
-def action_sequence(events: DataFrame, *, hot_rows: int = 1_000_000) -> DataFrame:
+def action_sequence(events: DataFrame) -> DataFrame:
     """Number the events of each user session by time (ACTION_ITEMS), views deduplicated.
 
-    Equal times are ordered by type, product and price. A session that holds a large share
-    of all events is numbered second by second; copies are numbered arithmetically.
+    Equal times are ordered by type, product and price. Every session is cut by day, second
+    and moment with type and product, and numbered arithmetically from the totals of these. The
+    events without their copies are stored first, since both the totals and the rows read them, and the
+    numbered ones next, since single rows and blocks of copies are written out apart.
     """
-    numbered = running_total(
-        collapse_repeats(events),
-        SESSION,
-        [F.col(c).asc_nulls_last() for c in _ORDER],
-        "COPIES",
-        "LAST",
-        spread_by=F.date_trunc("second", "EVENT_TIME"),
-        sizes_from=events,
-        hot_rows=hot_rows,
-    )
+    collapsed = stored(collapse_repeats(events), "collapsed")
+    levels = [
+        {"__day": F.to_date("EVENT_TIME")},
+        {"__second": F.date_trunc("second", "EVENT_TIME")},
+        {"EVENT_TIME": F.col("EVENT_TIME"), "EVENT_TYPE": F.col("EVENT_TYPE"), "PRODUCT_ID": F.col("PRODUCT_ID")},
+    ]
+    numbered = running_total(collapsed, SESSION, ["PRICE"], "COPIES", "LAST", levels=levels)
+    numbered = stored(numbered, "numbered")
     return repeat_rows(numbered, "COPIES", "LAST", "ACTION_ITEMS", keys=SESSION).select(
         *_RAW, F.col("ACTION_ITEMS").cast("int").alias("ACTION_ITEMS")
     )
@@ -114,10 +114,9 @@ def fact_behaviour_log(
     *,
     branch: str = "America",
     latest_only: bool = True,
-    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Cleaned, numbered and keyed events."""
-    events = action_sequence(usable_events(history, latest_only), hot_rows=hot_rows)
+    events = action_sequence(usable_events(history, latest_only))
     unique = keep_latest(events, ACTION_KEY, "EVENT_TIME", TIE_BREAK)
     return keyed_events(unique, etl_ts, branch=branch)
 

@@ -57,17 +57,17 @@ def test_repeated_views_count_once_other_events_as_often_as_logged(spark):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 20, 0])
-def test_hot_sessions_are_numbered_like_any_other(spark, hot_rows):
+@pytest.mark.parametrize("seconds", [6, 1])
+def test_hot_sessions_are_numbered_like_any_other(spark, seconds):
     rng = random.Random(1)
     rows = []
     for i in range(400):
         user = "hot" if i % 3 == 0 else f"u{rng.randrange(40)}"
-        second = rng.randrange(6)
+        second = rng.randrange(seconds)
         rows.append((f"2020-01-01 10:00:0{second}.{rng.randrange(3)}", rng.choice(["view", "cart", "purchase"]),
                      str(rng.randrange(4)), float(rng.randrange(3)), user, "s"))
     df = events(spark, rows)
-    numbered = facts.action_sequence(df, hot_rows=hot_rows).collect()
+    numbered = facts.action_sequence(df).collect()
 
     expected = []
     for user in {r[4] for r in rows}:
@@ -85,15 +85,27 @@ def test_hot_sessions_are_numbered_like_any_other(spark, hot_rows):
     assert sorted(got) == sorted(expected)
 
 
-def test_running_total_of_weights_with_hot_keys(spark):
+def test_running_total_cuts_every_key_alike(spark):
     df = spark.range(200).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
         "id", (F.col("id") % 5 + 1).alias("w"),
     )
-    spread = running_total(df, ["k"], [F.col("id")], "w", "sum", spread_by=F.floor(F.col("id") / 7), hot_rows=10, hot_keys=2)
-    plain = running_total(df, ["k"], [F.col("id")], "w", "sum", spread_by=F.col("id"))
-    assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
-    assert spread.where("k = 'hot'").agg(F.max("sum")).first()[0] == sum(i % 5 + 1 for i in range(0, 200, 3))
+    levels = [{"a": F.floor(F.col("id") / 40)}, {"b": F.when(F.col("id") % 40 < 30, F.floor(F.col("id") / 7))}]
+    got = running_total(df, ["k"], ["id"], "w", "sum", levels=levels)
+    assert got.columns == ["k", "id", "w", "sum"]
+    rows = sorted((r["id"], r["k"], r["w"]) for r in df.collect())
+    totals, expected = {}, {}
+    for i, k, w in rows:
+        totals[k] = totals.get(k, 0) + w
+        expected[i] = totals[k]
+    assert {r["id"]: r["sum"] for r in got.collect()} == expected
+
+
+def test_numbering_has_two_windows_over_events(spark):
+    df = events(spark, [("2020-01-01 10:00:00", "cart", "1", 5.0, "u", "s")])
+    levels = [{"d": F.to_date("EVENT_TIME")}, {"p": F.col("PRODUCT_ID")}]
+    text = plan(running_total(df.withColumn("w", F.lit(1)), ["USER_ID"], ["PRICE"], "w", "n", levels=levels))
+    assert text.count("Window [") <= 3  # one over the events, one for each level's totals
 
 
 def test_heavy_copies_are_spread_in_blocks(spark):
@@ -108,7 +120,7 @@ def test_heavy_copies_are_spread_in_blocks(spark):
 def test_hot_copies_keep_every_row(spark):
     at = "2020-01-01 10:00:00"
     df = events(spark, [(at, "cart", "1", 5.0, "u", "s")] * 50 + [(at, "purchase", "1", 5.0, "u", "s")] * 2)
-    numbers = sorted(r["ACTION_ITEMS"] for r in facts.action_sequence(df, hot_rows=5).collect())
+    numbers = sorted(r["ACTION_ITEMS"] for r in facts.action_sequence(df).collect())
     assert numbers == list(range(1, 53))
 
 
