@@ -138,3 +138,34 @@ def upsert_partitions(
         current = touched_partitions(target, source, partition_by)
         merged = upsert(current, source, keys, update_when, unique=unique)
         rewrite_partitions(merged, path, partition_by)
+
+
+def upsert_moving(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+) -> None:
+    """Upsert rows whose partition may change into a table at ``path``.
+
+    Rewritten are the partitions that the source goes to and those that hold older rows of its
+    keys; to find the latter only keys and partition columns of the table are read. A partition that
+    is left without a row is removed. The source must have one row per key, and keys must not be NULL.
+    """
+    with passing(source, "upsert-source") as source:
+        target = spark.read.schema(source.schema).parquet(path)
+        own = source.select(*keys)
+        left = target.select(*keys, *partition_by).join(own, list(keys), "left_semi").select(*partition_by)
+        with passing(source.select(*partition_by).union(left).distinct(), "touched") as touched:
+            current = touched_partitions(target, touched, partition_by)
+            merged = current.join(own, list(keys), "left_anti").select(*source.columns).unionByName(source)
+            with _staged(merged, path) as staged:
+                same = [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in partition_by]
+                places = staged.select(*partition_by).distinct().alias("s")
+                emptied = touched.alias("t").join(places, same, "left_anti").collect()  # a few dates
+                laid_out(staged, partition_by).write.mode("overwrite").option(
+                    "partitionOverwriteMode", "dynamic"
+                ).partitionBy(*partition_by).parquet(path)
+            for row in emptied:
+                remove_path(spark, "/".join([path.rstrip("/"), *[f"{c}={row[c]}" for c in partition_by]]))

@@ -425,7 +425,7 @@ GROUP BY ALL""",
     "session_baskets": _BASKET,
     "shared_session_baskets": f"""
 SELECT strftime(EVENT_DATE, '%Y-%m-%d') AS USER_SESSION, {_time('max(EVENT_DATETIME)', 'DATETIME_ORDER')},
-  string_agg(DISTINCT USER_ID, ', ' ORDER BY USER_ID) AS USER_ID, count(*) AS QUANTITY,
+  count(DISTINCT USER_ID) AS USERS, count(*) AS QUANTITY,
   round(sum(PRICE), 2) AS SPENT_MONEY
 FROM fact WHERE EVENT_TYPE = 'purchase' GROUP BY EVENT_DATE""",
     "rfm_users": """
@@ -490,6 +490,12 @@ FROM (SELECT USER_ID || '-' || EVENT_TYPE AS USER_SESSION, BATCHNUMBER AS batch,
         max(EVENT_TIME) AS last, min(EVENT_TIME) AS first,
         row_number() OVER (PARTITION BY USER_ID, EVENT_TYPE ORDER BY BATCHNUMBER DESC) AS pick
       FROM log GROUP BY USER_ID, EVENT_TYPE, BATCHNUMBER) WHERE pick = 1""",
+    "session_batches": f"""
+SELECT {_time("date_trunc('day', last)", 'DATE_KEY')}, USER_SESSION,
+  {_time('last', 'MAX_EVENT_DATETIME')}, {_time('first', 'MIN_EVENT_DATETIME')},
+  round((floor(epoch(last)) - floor(epoch(first))) / 60 + 1e-7, 4) AS USER_SESSION_DURATION, {_parts('last')}
+FROM (SELECT USER_ID || '-' || EVENT_TYPE AS USER_SESSION, max(EVENT_TIME) AS last, min(EVENT_TIME) AS first
+      FROM log GROUP BY USER_ID, EVENT_TYPE)""",
     "upsert_fact_partitions": f"""
 SELECT {_parts('EVENT_TIME')}, CASE WHEN BATCHNUMBER = 2 THEN 'Europe' ELSE 'America' END
     AS SALES_BRANCH, count(*) AS N

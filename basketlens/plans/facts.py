@@ -161,9 +161,9 @@ def fact_target(history: DataFrame, etl_ts: str) -> DataFrame:
     )
 
 
-def fact_user_session(fact: DataFrame, etl_ts: str) -> DataFrame:
-    """First and last event of every session and the minutes between (whole seconds)."""
-    spans = (
+def session_spans(fact: DataFrame) -> DataFrame:
+    """First and last event of every session."""
+    return (
         fact.select("EVENT_DATETIME", "USER_SESSION")
         .groupBy("USER_SESSION")
         .agg(
@@ -171,6 +171,24 @@ def fact_user_session(fact: DataFrame, etl_ts: str) -> DataFrame:
             F.min("EVENT_DATETIME").alias("MIN_EVENT_DATETIME"),
         )
     )
+
+
+def continued_spans(spans: DataFrame, sessions: DataFrame) -> DataFrame:
+    """``spans`` of new events, widened by what is stored of the same sessions."""
+    known = sessions.select(
+        "USER_SESSION",
+        F.col("MAX_EVENT_DATETIME").alias("__max"),
+        F.col("MIN_EVENT_DATETIME").alias("__min"),
+    )
+    return spans.join(known, "USER_SESSION", "left").select(
+        "USER_SESSION",
+        F.greatest("MAX_EVENT_DATETIME", "__max").alias("MAX_EVENT_DATETIME"),
+        F.least("MIN_EVENT_DATETIME", "__min").alias("MIN_EVENT_DATETIME"),
+    )
+
+
+def user_sessions(spans: DataFrame, etl_ts: str) -> DataFrame:
+    """Sessions with the minutes between first and last event (whole seconds)."""
     seconds = F.unix_timestamp("MAX_EVENT_DATETIME") - F.unix_timestamp("MIN_EVENT_DATETIME")
     sessions = spans.select(
         F.date_trunc("day", "MAX_EVENT_DATETIME").alias("DATE_KEY"),
@@ -182,3 +200,8 @@ def fact_user_session(fact: DataFrame, etl_ts: str) -> DataFrame:
     return with_partition_columns(sessions, "DATE_KEY").withColumn(
         "ETLUPDATEDDATETIME", as_of_text(etl_ts)
     )
+
+
+def fact_user_session(fact: DataFrame, etl_ts: str) -> DataFrame:
+    """Sessions of all events."""
+    return user_sessions(session_spans(fact), etl_ts)

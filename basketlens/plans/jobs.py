@@ -253,12 +253,17 @@ def build_fact_target(lake: Lake, run: Run) -> bool:
 
 
 def build_fact_session(lake: Lake, run: Run) -> bool:
-    """A session may move to another date when it goes on, so the table is rewritten whole."""
+    """Sessions of the newest batch: its dates of the fact are read, and of the stored sessions those
+    that go on. Only the dates where these were or are now get rewritten."""
 
     def work(batch: int) -> bool:
-        name = "curated.fact_usersession_cal"
-        sessions = facts.fact_user_session(lake.table("curated.fact_behaviour_log"), run.run_ts)
-        lake.replace(name, merge.upsert(lake.ensure(name), sessions, ["USER_SESSION"]))
+        name, parts = "curated.fact_usersession_cal", list(writers.FACT_PARTITIONS)
+        fact = lake.table("curated.fact_behaviour_log")
+        newest = latest_batch(lake.table("history.behaviour_log")).select(*parts)
+        spans = facts.session_spans(merge.touched_partitions(fact, newest, parts))
+        sessions = facts.user_sessions(facts.continued_spans(spans, lake.ensure(name)), run.run_ts)
+        sessions = sessions.select(*schemas.schema(name).names)
+        merge.upsert_moving(lake.spark, lake.path(name), sessions, ["USER_SESSION"], schemas.PARTITIONING[name])
         return True
 
     return _job(lake, run, "cur_fact_session", ["cur_fact_behaviour"], work)

@@ -14,13 +14,19 @@ QUARTILES = (0.25, 0.5, 0.75)
 METRICS = ["RECENCY", "FREQUENCY", "MONETARY"]
 
 
-def session_baskets(fact: DataFrame) -> DataFrame:
+def session_baskets(fact: DataFrame, *, list_buyers: bool = False) -> DataFrame:
     """Purchases per session: last purchase time, buyer, number of purchases, money spent.
 
-    Several users under one session form one composite buyer "u1, u2", ids ascending. The
-    rows are first summed per session and user, so what is listed is one entry per
-    distinct user, never the events of a session.
+    Several users under one session form one composite buyer, named by their number and a
+    hash of all their ids, "2 users 1f3a...", whose size does not grow with them.
+    ``list_buyers`` names the ids themselves instead, "u1, u2" in ascending order. The rows are
+    first summed per session and user.
     """
+    users, ids = F.count("USER_ID"), F.bit_xor(F.xxhash64("USER_ID"))
+    composite = F.concat(users.cast("string"), F.lit(" users "), F.lower(F.hex(ids)))
+    buyer = F.when(users > 1, composite).otherwise(F.coalesce(F.min("USER_ID"), F.lit("")))
+    if list_buyers:
+        buyer = F.concat_ws(", ", F.sort_array(F.collect_list("USER_ID")))
     per_user = (
         fact.where(F.col("EVENT_TYPE") == "purchase")
         .groupBy("USER_SESSION", "USER_ID")
@@ -32,7 +38,7 @@ def session_baskets(fact: DataFrame) -> DataFrame:
     )
     return per_user.groupBy("USER_SESSION").agg(
         F.max("DATETIME_ORDER").alias("DATETIME_ORDER"),
-        F.concat_ws(", ", F.sort_array(F.collect_list("USER_ID"))).alias("USER_ID"),
+        buyer.alias("USER_ID"),
         F.sum("QUANTITY").alias("QUANTITY"),
         F.sum("SPENT_MONEY").alias("SPENT_MONEY"),
     )

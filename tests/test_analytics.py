@@ -189,7 +189,9 @@ def test_baskets_join_the_users_of_a_session_in_order(spark):
         ("2020-01-01T10:00", "purchase", 1.5, "u2", "s"), ("2020-01-02T10:00", "purchase", 2.0, "u1", "s"),
         ("2020-01-01T11:00", "purchase", 1.0, "u2", "s"), ("2020-01-09T10:00", "view", 9.0, "u3", "s"),
     ])
-    row = rfm.session_baskets(df).first()
+    (bounded,) = rfm.session_baskets(df).collect()
+    assert bounded["USER_ID"].startswith("2 users ") and len(bounded["USER_ID"]) < 30
+    row = rfm.session_baskets(df, list_buyers=True).first()
     assert tuple(row) == ("s", dt.datetime(2020, 1, 2, 10), "u1, u2", 3, 4.5)
 
 

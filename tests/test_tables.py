@@ -110,6 +110,17 @@ def test_partition_upsert_refuses_rows_that_could_move(spark, tmp_path):
         merge.upsert_partitions(spark, path, twice, ["id"], ["d"], decided_by=["d"])
 
 
+def test_moving_upsert_leaves_no_older_row_behind(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.overwrite_path(spark.createDataFrame([(1, 1), (2, 2), (3, 2), (4, 4)], "id int, d int"), path, ["d"])
+    untouched = {f.name for f in (tmp_path / "t" / "d=4").iterdir()}
+    merge.upsert_moving(spark, path, spark.createDataFrame([(1, 2), (2, 5), (9, 7)], "id int, d int"), ["id"], ["d"])
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path)) == [(1, 2), (2, 5), (3, 2), (4, 4), (9, 7)]
+    assert {f.name for f in (tmp_path / "t" / "d=4").iterdir()} == untouched
+    assert not (tmp_path / "t" / "d=1").exists() and [f.name for f in tmp_path.iterdir()] == ["t"]
+
+
 def test_rewrite_moves_rows_between_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     writers.overwrite_path(spark.createDataFrame([(1, 1), (2, 1)], "id int, d int"), path, ["d"])
