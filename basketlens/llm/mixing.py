@@ -141,6 +141,6 @@ def with_copies(
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: every document as often as it is taken, with the columns of ``docs``."""
-    rows = with_copies(docs.select("*", word_count("text").alias("_words")).withColumn("size", F.col("_words")), **settings)
+    rows = docs.select("doc_id", "source", word_count("text").alias("size"), F.struct(*docs.columns).alias("_row"))
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    return rows.withColumn("_copy", copies).select(*docs.columns)
+    return with_copies(rows, **settings).withColumn("_copy", copies).select("_row.*")

@@ -152,7 +152,8 @@ def test_mixing_odd_tables(spark):
     assert len(got) == 6 and all(r.taken <= 3 * r.size for r in got)
     assert [r.target for r in got if r.source == "a"] == [0.0, 0.0]
     assert mixing.with_copies(df.where("false")).count() == 0
-    assert mixing.mixed(df).columns == df.columns
+    mix = mixing.mixed(df)
+    assert mix.columns == df.columns and {(r.target, r.copies) for r in mix.collect()} == {("x", "y")}
 
 
 # op5
