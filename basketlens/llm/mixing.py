@@ -81,61 +81,46 @@ def with_copies(
     """
     if "size" not in docs.columns:
         docs = docs.withColumn("size", word_count("text"))
+    key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_key")  # never null, so that
+    # one partitioning serves the ranks and the joins, and rows with their texts are dealt out once
     aims = stored(targets(docs.select("source", "size"), weights, cap), "targets")
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     aims = aims.select(
-        F.col("source").alias("_source"),
+        key,
         F.col("source_size").alias("_source_size"),
         F.col("target").alias("_target"),
-        F.col("source_size").alias("_key_size"),
+        rate.alias("_rate"),
+        offset(seed).alias("_offset"),
     )
-    keyed = docs.drop(*[c for c in ADDED if c != "size"]).withColumn(
-        "_bucket", F.coalesce(F.pmod("doc_id", F.lit(buckets)), F.lit(-1))
-    )
-    by_bucket = keyed.groupBy("source", "size", "_bucket").agg(F.count(F.lit(1)).alias("n"))
+    bucket = F.coalesce(F.pmod("doc_id", F.lit(buckets)), F.lit(-1)).alias("_bucket")
+    groups = ["_key", "size", "_bucket"]
+    by_bucket = docs.select(key, "size", bucket).groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
     by_bucket = stored(by_bucket, "buckets")
-    by_size = by_bucket.groupBy("source", "size").agg(F.sum("n").alias("n"))
+    by_size = by_bucket.groupBy("_key", "size").agg(F.sum("n").alias("n"))
     earlier = lambda *order: W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     size_start = by_size.select(
-        F.col("source").alias("_s"),
-        F.col("size").alias("_z"),
-        F.coalesce(F.sum("n").over(earlier("size").partitionBy("source")), F.lit(0)).alias("_before_size"),
-    )
-    bucket_start = by_bucket.select(
-        "source",
+        "_key",
         "size",
-        "_bucket",
-        F.coalesce(F.sum("n").over(earlier("_bucket").partitionBy("source", "size")), F.lit(0)).alias("_before_bucket"),
+        F.coalesce(F.sum("n").over(earlier("size").partitionBy("_key")), F.lit(0)).alias("_before_size"),
     )
-    starts = bucket_start.join(
-        size_start, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))
-    ).select(
-        F.col("source").alias("_s"),
-        F.col("size").alias("_z"),
-        F.col("_bucket").alias("_b"),
-        (F.col("_before_size") + F.col("_before_bucket")).alias("_before"),
-    )
-    starts = stored(starts, "starts")
-    place = F.row_number().over(W.partitionBy("source", "size", "_bucket").orderBy("doc_id"))
-    ranked = keyed.withColumn("_place", place).join(
-        starts,
-        F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")) & (F.col("_bucket") == F.col("_b")),
+    bucket_start = by_bucket.select(
+        *groups,
+        F.coalesce(F.sum("n").over(earlier("_bucket").partitionBy("_key", "size")), F.lit(0)).alias("_before_bucket"),
     )
-    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
+    starts = bucket_start.join(size_start, ["_key", "size"])
+    starts = stored(starts.select(*groups, (F.col("_before_size") + F.col("_before_bucket")).alias("_before")), "starts")
+    place = F.row_number().over(W.partitionBy(*groups).orderBy("doc_id"))
+    kept = docs.drop(*[c for c in ADDED if c != "size"])
+    ranked = kept.select("*", key, bucket).withColumn("_place", place).join(starts, groups).join(aims, "_key")
     rank = F.col("_before") + F.col("_place")
     passed = F.floor(rank * F.col("_rate") + F.col("_offset")) - F.floor((rank - 1) * F.col("_rate") + F.col("_offset"))
-    own = [c for c in docs.columns if c not in ADDED]
-    return (
-        ranked.join(aims, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_rate", rate)
-        .withColumn("_offset", offset(seed))
-        .select(
-            *own,
-            "size",
-            F.col("_source_size").alias("source_size"),
-            F.col("_target").alias("target"),
-            passed.cast("long").alias("copies"),
-            (passed * F.col("size")).cast("long").alias("taken"),
-        )
+    return ranked.select(
+        *[c for c in docs.columns if c not in ADDED],
+        "size",
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        passed.cast("long").alias("copies"),
+        (passed * F.col("size")).cast("long").alias("taken"),
     )
 
 
