@@ -8,7 +8,7 @@ position is marked dead and the last token is taken back for a shorter one, so e
 is left for good at most once. The pair tests are memoised.
 
 Pieces come from the splitting pattern and repeat a lot, so the ids of short pieces are kept in
-a bounded cache per task. Nothing is shuffled; a document is encoded as a whole, whatever its length.
+a bounded cache, which a worker keeps from task to task. Nothing is shuffled; a document is encoded as a whole, whatever its length.
 
 Defined cases: null text is like an empty one: no ids. Special tokens do not exist. Repeated rows
 are encoded alike. Other columns are kept unless an added one has their name.
@@ -30,7 +30,7 @@ from basketlens.llm.arrow import map_rows
 
 CACHED_PIECE = 64  # longer pieces are not kept
 CACHE_SIZE = 150_000  # pieces in either half of the cache
-PAIRS_SIZE = 1_000_000
+PAIRS_SIZE = 400_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -147,6 +147,18 @@ class Coder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+_CODERS: dict[tuple[bytes, str], Coder] = {}
+
+
+def shared_coder(data: bytes, pattern: str) -> Coder:
+    """The worker's coder of a vocabulary: the next task finds its caches warm."""
+    key = hashlib.sha256(data).digest(), pattern
+    if key not in _CODERS:
+        _CODERS.clear()
+        _CODERS[key] = Coder(read_ranks(data), pattern)
+    return _CODERS[key]
+
+
 def with_ids(docs: DataFrame, rank_file: str, pattern: str, digest: bool = False, keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with n_tokens and ids, an array of integers.
 
@@ -161,7 +173,7 @@ def with_ids(docs: DataFrame, rank_file: str, pattern: str, digest: bool = False
     schema = StructType([docs.schema[c] for c in others] + StructType.fromDDL(added).fields)
 
     def start() -> Callable:
-        coder = Coder(read_ranks(data.value), pattern)
+        coder = shared_coder(data.value, pattern)
 
         def row(text: str | None, *values) -> list:
             ids = coder.encode(text or "")
