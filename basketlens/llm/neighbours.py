@@ -6,11 +6,10 @@
 3. NN-descent: around every vector its neighbours and those whose neighbour it is are joined with each
    other, and each keeps the ``neighbours`` most similar ones it has met; repeated until lists
    hardly change. Neighbours below ``explore`` are not kept: they lead to no link.
-4. Where a list is saturated, full of links to the last place, there may be more. All lists of
-   its component are then enlarged to the component: its vectors are compared block by block,
-   and links are counted, never listed.
-5. The recall is audited by brute force for a bounded number of vectors against all; below
-   ``recall`` the search goes on with more tables.
+4. Where a list is saturated, full of links to the last place, there may be more. The components of
+   such lists are searched again for links to other ones only, and merged, until there are none;
+   then their vectors are compared block by block, and links are counted, never listed.
+5. The recall is audited by brute force for a bounded number of vectors against all; below ``recall`` the search goes on with more tables.
 
 Links are edges with a cosine, in double precision, of at least ``threshold`` between vectors of one label;
 components are found by alternating large-star and small-star.
@@ -101,66 +100,79 @@ def best(ids: np.ndarray, sims: np.ndarray, own: int, k: int, least: float) -> t
     return ids[good].tolist(), sims[good].tolist()
 
 
-def joined(rows: list[tuple[int, bytes, float]], k: int, explore: float) -> Iterator[tuple]:
-    """Lists that come of comparing some vectors (id, vector, worst similarity kept) with each other."""
-    if len(rows) < 2:
+def joined(rows: list[tuple[int, int, bytes, float]], k: int, explore: float) -> Iterator[tuple]:
+    """Lists that come of comparing vectors (id, part, vector, worst similarity kept) of different parts with each other."""
+    parts = np.array([row[1] for row in rows], np.int64)
+    if (parts == parts[0]).all():
         return
     ids = np.array([row[0] for row in rows], np.int64)
-    x = unit([row[1] for row in rows])
-    sims = x @ x.T
-    worst = np.array([row[2] for row in rows])
-    for i in np.flatnonzero(((sims > worst[:, None]) & (ids[:, None] != ids)).any(1)):
+    x = unit([row[2] for row in rows])
+    sims = np.where(parts[:, None] != parts, x @ x.T, -2.0)
+    worst = np.array([row[3] for row in rows])
+    for i in np.flatnonzero((sims > worst[:, None]).any(1)):
         others, values = best(ids, sims[i], ids[i], k, max(explore, worst[i]))
         if others:
             yield int(ids[i]), others, values
 
 
-def parts(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
-    part: list[tuple] = []
+def runs(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
+    """Runs of at most ``size`` rows, of which adjoining ones share half."""
+    run: list[tuple] = []
+    fresh = False
     for row in rows:
-        part.append(row)
-        if len(part) == size:
-            yield part
-            part = []
-    if part:
-        yield part
-
-
-def started(nodes: DataFrame, settings: Settings, attempt: int) -> DataFrame:
-    """First lists, from hyperplane tables; ``nodes`` has id, label, dim, bits and vector."""
-    label = nodes.schema["label"].dataType.simpleString()
-    place = f"t int, label {label}, dim int, code long, fine double, id long, vector binary"
-    schema, lists = to_arrow_schema(StructType.fromDDL(place)), to_arrow_schema(StructType.fromDDL(LISTS))
-    tables, k, explore, size = settings.tables, settings.neighbours, settings.explore, 8 * settings.bucket
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run.append(row)
+        fresh = True
+        if len(run) == size:
+            yield run
+            run, fresh = run[size // 2 :], False
+    if fresh:
+        yield run
+
+
+PLACE = ["label", "dim", "code"]
+
+
+def place_type(rows: DataFrame) -> str:
+    return f"label {rows.schema['label'].dataType.simpleString()}, dim int, code long, id long"
+
+
+def code_of(*numbers: int) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(np.array(numbers, np.int64).tobytes())).astype(np.int64))
+
+
+def dealt(nodes: DataFrame, settings: Settings, attempt: int) -> DataFrame:
+    """(label, dim, code, id): the place of every node in each of its label's hyperplane tables."""
+    schema = to_arrow_schema(StructType.fromDDL(place_type(nodes)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for rows in parts(zip(*(c.to_pylist() for c in batch.columns)), 1000):
-                out = []
-                for id_, label, dim, bits, vector in rows:
-                    x = np.frombuffer(vector, np.float64)
-                    for t in range(attempt * tables, (attempt + 1) * tables):
-                        if (t, dim) not in planes:
-                            planes[t, dim] = np.random.default_rng([t, dim]).standard_normal((63, dim))
-                        sides = planes[t, dim][: bits + 1] @ x
-                        code = int((sides[:bits] > 0) @ (1 << np.arange(bits))) if bits else 0
-                        out.append((t, label, dim, code, float(sides[bits]), id_, vector))
-                yield emit(out, schema)
+            out = []
+            for id_, label, dim, bits, tables, vector in zip(*(c.to_pylist() for c in batch.columns)):
+                x = np.frombuffer(vector, np.float64)
+                for t in range(attempt * tables, (attempt + 1) * tables):
+                    if (t, dim) not in planes:
+                        planes[t, dim] = np.random.default_rng([t, dim]).standard_normal((62, dim))
+                    code = int((planes[t, dim][:bits] @ x > 0) @ (1 << np.arange(bits))) if bits else 0
+                    out.append((label, dim, code_of(t, code), id_))
+            yield emit(out, schema)
+
+    return nodes.select("id", "label", "dim", "bits", "tables", "vector").mapInArrow(run, place_type(nodes))
+
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in grouped(batches, 4):
-            found = [
-                each
-                for part in parts(rows, size)
-                for each in joined([(row[5], row[6], explore) for row in part], k, explore)
-            ]
+def met(places: DataFrame, state: DataFrame, settings: Settings) -> DataFrame:
+    """Lists found by joining all of one place; ``state`` has id, part, vector and worst."""
+    lists = to_arrow_schema(StructType.fromDDL(LISTS))
+    k, explore, most = settings.neighbours, settings.explore, 8 * settings.bucket
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in grouped(batches, 3):
+            found = [each for part in runs(rows, most) for each in joined([row[3:] for row in part], k, explore)]
             if found:
                 yield emit(found, lists)
 
-    keys = ["t", "label", "dim", "code"]
-    dealt = nodes.select("id", "label", "dim", "bits", "vector").mapInArrow(deal, place)
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "fine", "id").mapInArrow(meet, LISTS)
+    rows = places.join(state.select("id", "part", "vector", "worst"), "id").select(*PLACE, "id", "part", "vector", "worst")
+    return rows.repartition(*PLACE).sortWithinPartitions(*PLACE, "id").mapInArrow(run, LISTS)
 
 
 def merged(lists: DataFrame, settings: Settings) -> DataFrame:
@@ -184,27 +196,65 @@ def merged(lists: DataFrame, settings: Settings) -> DataFrame:
     return lists.repartition("id").sortWithinPartitions("id").mapInArrow(run, LISTS)
 
 
-def descended(lists: DataFrame, vectors: DataFrame, settings: Settings) -> DataFrame:
-    """Lists found by joining, around every node, all that are its neighbours or have it as theirs."""
-    schema = to_arrow_schema(StructType.fromDDL(LISTS))
-    k, explore, size = settings.neighbours, settings.explore, settings.block
+def searched(members: DataFrame, places: DataFrame, known: DataFrame, first: DataFrame, settings: Settings) -> DataFrame:
+    """The lists ``first`` and what ``places`` hold, improved by NN-descent.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in grouped(batches, 1):
-            found = [each for part in parts(rows, size) for each in joined([row[1:] for row in part], k, explore)]
-            if found:
-                yield emit(found, schema)
+    ``members`` has id, label, dim, part and vector; only vectors of different parts get into lists. Around every
+    node all are joined that are its neighbours or have it as theirs, in these lists or the ``known`` ones.
+    """
+    explore, size = settings.explore, F.size("others")
+    fresh = met(places, members.withColumn("worst", F.lit(explore)), settings)
+    lists = stored(merged(first.union(fresh), settings), "lists")
+    total = members.count()
+    for _ in range(settings.rounds):
+        worst = F.when(size >= settings.neighbours, F.array_min("sims")).otherwise(F.lit(explore))
+        state = members.join(lists.select("id", worst.alias("worst")), "id", "left").fillna(explore, ["worst"])
+        edges = known.union(lists).select(F.col("id").alias("u"), F.explode("others").alias("v"))
+        both = edges.union(edges.select("v", "u")).union(members.select(F.col("id").alias("u"), F.col("id").alias("v"))).distinct()
+        around = both.join(members.select(F.col("id").alias("u"), "label", "dim"), "u")
+        around = around.select("label", "dim", F.col("u").alias("code"), F.col("v").alias("id"))
+        better = stored(merged(lists.union(met(around, state, settings)), settings), "lists")
+        old = lists.select("id", F.col("others").alias("old"))
+        changed = better.join(old, "id", "left").where(~F.col("others").eqNullSafe(F.col("old"))).count()
+        lists = better
+        if changed <= settings.settled * total:
+            break
+    return lists
 
-    full = F.size("others") >= k
-    worst = F.when(full, F.array_min("sims")).otherwise(F.lit(explore))
-    own = stored(lists.join(vectors, "id").select("id", "others", "vector", worst.alias("worst")), "own")
-    carried = own.select("id", "vector", "worst")
-    edges = own.select(F.col("id").alias("u"), F.explode("others").alias("v"))
-    forward = edges.join(carried, F.col("v") == F.col("id")).select(F.col("u").alias("around"), "id", "vector", "worst")
-    reverse = own.select(F.explode("others").alias("around"), "id", "vector", "worst")
-    itself = own.select(F.col("id").alias("around"), "id", "vector", "worst")
-    around = forward.union(reverse).union(itself).repartition("around").sortWithinPartitions("around", "id")
-    return around.mapInArrow(run, LISTS)
+
+def linked(lists: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): the links in lists, smaller id first."""
+    pairs = lists.select("id", F.explode(F.arrays_zip("others", "sims")).alias("p")).where(F.col("p.sims") >= settings.threshold)
+    return pairs.select(F.least("id", "p.others").alias("a"), F.greatest("id", "p.others").alias("b")).distinct()
+
+
+def spread(nodes: DataFrame, places: DataFrame, lists: DataFrame, links: DataFrame, settings: Settings) -> tuple[DataFrame, ...]:
+    """Links, components and open components, once no list is saturated across the border of a component.
+
+    A component is open if one of its lists is full of links, which may have displaced others. Open
+    components are searched again for links to each other only, which those inside cannot displace, and
+    merged by them, until none is found.
+    """
+    full = (F.size("others") >= settings.neighbours) & (F.array_min("sims") >= settings.threshold)
+    full = stored(lists.where(full).select("id"), "full")
+    known = lists
+    while True:
+        component = stored(connected(links).withColumnRenamed("node", "id"), "parts")
+        open_ = stored(component.join(full, "id", "left_semi").select("component").distinct(), "open")
+        members = component.join(open_, "component", "left_semi").join(nodes.select("id", "label", "dim", "vector"), "id")
+        members = stored(members.withColumnRenamed("component", "part"), "members")
+        several = members.groupBy("label", "dim").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a < b")
+        members = members.join(several, ["label", "dim"], "left_semi")
+        if members.isEmpty():
+            return links, component, open_
+        own = members.select("id")
+        inner = known.join(own, "id", "left_semi")
+        outer = searched(members, places.join(own, "id", "left_semi").select(*PLACE, "id"), inner, lists.limit(0), settings)
+        fresh = stored(linked(outer, settings), "links")
+        if fresh.isEmpty():
+            return links, component, open_
+        links = stored(links.union(fresh).distinct(), "links")
+        known = known.union(outer)
 
 
 def counted(members: DataFrame, settings: Settings) -> DataFrame:
@@ -242,15 +292,8 @@ def counted(members: DataFrame, settings: Settings) -> DataFrame:
     return dealt.mapInArrow(run, "id long, weight long").groupBy("id").agg(F.sum("weight").alias("weight"))
 
 
-def resolved(nodes: DataFrame, lists: DataFrame, settings: Settings) -> DataFrame:
+def resolved(nodes: DataFrame, links: DataFrame, component: DataFrame, open_: DataFrame, settings: Settings) -> DataFrame:
     """(id, component, weight) of every node that has a link."""
-    pairs = lists.select("id", F.explode(F.arrays_zip("others", "sims")).alias("p"))
-    pairs = pairs.where(F.col("p.sims") >= settings.threshold).select(F.col("id").alias("a"), F.col("p.others").alias("b"))
-    links = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    component = stored(connected(links), "parts").withColumnRenamed("node", "id")
-    full = (F.size("others") >= settings.neighbours) & (F.array_min("sims") >= settings.threshold)
-    open_ = component.join(lists.where(full), "id", "left_semi").select("component").distinct()
-    open_ = stored(open_, "open")
     weights = nodes.select("id", "n")
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     closed = component.join(open_, "component", "left_anti").select("id")
@@ -292,6 +335,7 @@ def audited(nodes: DataFrame, found: DataFrame, settings: Settings) -> float:
 
 def clustered(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``table`` (vec_id, embedding, label)."""
+    spark = table.sparkSession
     rows = stored(cleaned(table), "vectors")
     classes = rows.where("same is not null").groupBy("same").agg(
         F.min("vec_id").alias("id"), F.first("label").alias("label"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("n")
@@ -299,23 +343,18 @@ def clustered(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
     classes = stored(classes.withColumn("dim", (F.length("vector") / 8).cast("int")), "classes")
     sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("size"))
     bits = F.greatest(F.lit(0), F.least(F.lit(62), F.ceil(F.log2(F.col("size") / settings.bucket)))).cast("int")
-    sizes = stored(sizes.select("label", "dim", bits.alias("bits")), "sizes")
+    sizes = stored(sizes.select("label", "dim", bits.alias("bits"), F.lit(settings.tables).alias("tables")), "sizes")
     nodes = stored(classes.join(sizes, ["label", "dim"]), "nodes")
-    vectors = nodes.select("id", "vector")
 
-    lists = found = None
+    none = spark.createDataFrame([], LISTS)
+    lists, links = none, spark.createDataFrame([], "a long, b long")
+    members = nodes.select("id", "label", "dim", F.col("id").alias("part"), "vector")
     for attempt in range(settings.attempts):
-        fresh = started(nodes, settings, attempt)
-        lists = stored(merged(fresh if lists is None else lists.union(fresh), settings), "lists")
-        total = lists.count()
-        for _ in range(settings.rounds):
-            better = stored(merged(lists.union(descended(lists, vectors, settings)), settings), "lists")
-            old = lists.select("id", F.col("others").alias("old"))
-            changed = better.join(old, "id", "left").where(~F.col("others").eqNullSafe(F.col("old"))).count()
-            lists = better
-            if changed <= settings.settled * total:
-                break
-        found = resolved(nodes, lists, settings)
+        places = stored(dealt(nodes, settings, attempt), "places")
+        lists = searched(members, places, none, lists, settings)
+        links = stored(links.union(linked(lists, settings)).distinct(), "links")
+        links, component, open_ = spread(nodes, places, lists, links, settings)
+        found = resolved(nodes, links, component, open_, settings)
         recall = audited(nodes, found, settings)
         if recall >= settings.recall:
             break

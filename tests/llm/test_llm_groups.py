@@ -128,6 +128,33 @@ def test_embeddings_odd_tables(spark):
     assert neighbours.clustered(df.where("false")).count() == 0
 
 
+def around(centre, cosine, n, rng):
+    """Unit vectors at a cosine to ``centre``."""
+    away = rng.standard_normal((n, len(centre)))
+    away -= np.outer(away @ centre, centre)
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    return cosine * centre + np.sqrt(1 - cosine**2) * away
+
+
+def embedded(spark, vectors):
+    return spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+
+
+def test_groups_that_fill_their_own_lists_are_linked_across(spark):
+    rng = np.random.default_rng(1)
+    first = np.eye(32)[0]
+    second = 0.983 * first + np.sqrt(1 - 0.983**2) * np.eye(32)[1]
+    vectors = np.vstack([around(first, 0.9998, 20, rng), around(second, 0.9998, 20, rng)])
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.clustered(embedded(spark, vectors)).collect()}
+    assert len({c for _, c in got.values()}) == 1
+    assert got == embedding_links([(i, v.tolist(), 1) for i, v in enumerate(vectors)])
+
+
+def test_runs_share_half():
+    assert list(neighbours.runs(iter("abcdefg"), 4)) == [list("abcd"), list("cdef"), list("efg")]
+    assert list(neighbours.runs(iter("abcd"), 4)) == [list("abcd")] and list(neighbours.runs(iter(""), 4)) == []
+
+
 # op7
 
 
