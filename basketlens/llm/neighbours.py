@@ -2,14 +2,16 @@
 
 1. Vectors that are equal in label and components form a class, stood for by its smallest id and a count.
 2. Every vector starts with neighbours from a few random hyperplane tables, whose buckets hold
-   a bounded number of vectors on average at any input size.
+   a bounded number of vectors on average at any input size. The number of tables grows with that of hyperplanes, so that a
+   lone pair at the threshold is missed by all with a chance of ``miss``.
 3. NN-descent: around every vector its neighbours and those whose neighbour it is are joined with each
    other, and each keeps the ``neighbours`` most similar ones it has met; repeated until lists
    hardly change. Neighbours below ``explore`` are not kept: they lead to no link.
 4. Where a list is saturated, full of links to the last place, there may be more. The components of
    such lists are searched again for links to other ones only, and merged, until there are none;
    then their vectors are compared block by block, and links are counted, never listed.
-5. The recall is audited by brute force for a bounded number of vectors against all; below ``recall`` the search goes on with more tables.
+5. The recall is audited by brute force for a bounded number of vectors against all, drawn
+   independently of what was found; below ``recall`` the search goes on with more tables.
 
 Links are edges with a cosine, in double precision, of at least ``threshold`` between vectors of one label;
 components are found by alternating large-star and small-star.
@@ -22,6 +24,7 @@ other. Other columns of the input play no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
@@ -49,7 +52,10 @@ class Settings:
     rounds: int = 6
     settled: float = 0.001
     block: int = 512
-    audit: int = 256
+    miss: float = 0.01
+    audit: int = 1024
+    audit_linked: int = 100
+    most_audit: int = 16384
     recall: float = 0.95
     attempts: int = 3
 
@@ -305,32 +311,51 @@ def resolved(nodes: DataFrame, links: DataFrame, component: DataFrame, open_: Da
 
 
 def audited(nodes: DataFrame, found: DataFrame, settings: Settings) -> float:
-    """Recall of links for a bounded number of vectors, half of them linked ones, against all."""
-    chance = F.xxhash64("id", F.lit(9))
-    linked = nodes.join(found.orderBy(chance).limit(settings.audit // 2).select("id"), "id")
-    some = linked.unionByName(nodes.orderBy(chance).limit(settings.audit // 2)).select("id", "label", "dim", "vector").collect()
-    asked = sorted({(r.id, r.label, r.dim, bytes(r.vector)) for r in some}, key=lambda r: r[0])
-    if not asked:
-        return 1.0
-    threshold, schema = settings.threshold, to_arrow_schema(StructType.fromDDL("id long, truth long"))
+    """Recall of links, the lower of that by vector and that by link, for random vectors against all.
+
+    The vectors are drawn by hashes of their ids, whatever was found. The draw grows until ``audit_linked`` of
+    them have a link in truth, it holds ``most_audit`` or it holds all.
+    """
+    size = settings.audit
+    while True:
+        drawn = nodes.orderBy(F.xxhash64("id", F.lit(9)), "id").limit(size)
+        asked = [(r.id, r.label, r.dim, bytes(r.vector)) for r in drawn.select("id", "label", "dim", "vector").collect()]
+        sums = compared(nodes, asked, settings.threshold).join(found, "id", "left").where("truth > 0")
+        hit = F.least("truth", F.coalesce("weight", F.lit(0)))
+        sums = sums.agg(F.count(F.lit(1)), F.avg(hit / F.col("truth")), F.sum(hit) / F.sum("truth")).first()
+        if sums[0] >= settings.audit_linked or len(asked) < size or size >= settings.most_audit:
+            return min(sums[1], sums[2]) if sums[0] else 1.0
+        size = min(4 * size, settings.most_audit)
+
+
+def compared(nodes: DataFrame, asked: list[tuple], threshold: float, block: int = 1024) -> DataFrame:
+    """(id, truth): weight of all vectors linked with those asked for (id, label, dim, vector), block against block."""
+    schema = to_arrow_schema(StructType.fromDDL("id long, truth long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = {key: list(rows) for key, rows in groupby(sorted(asked, key=lambda r: (str(r[1]), r[2])), key=lambda r: r[1:3])}
+        queries: dict[tuple, list[tuple]] = {}
+        for id_, label, dim, vector in asked:
+            queries.setdefault((label, dim), []).append((id_, vector))
         total = dict.fromkeys((r[0] for r in asked), 0)
         for batch in batches:
-            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
-            for key, queries in groups.items():
-                own = [r for r in rows if (r[1], r[2]) == key]
-                if own:
-                    near = unit([q[3] for q in queries]) @ unit([r[3] for r in own]).T >= threshold
-                    near &= np.array([q[0] for q in queries])[:, None] != np.array([r[0] for r in own])
-                    for q, n in zip(queries, near @ np.array([r[4] for r in own])):
-                        total[q[0]] += int(n)
-        yield emit(list(total.items()), schema)
-
-    truth = nodes.select("id", "label", "dim", "vector", "n").mapInArrow(run, "id long, truth long").groupBy("id").agg(F.sum("truth").alias("truth"))
-    sums = truth.join(found, "id", "left").agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("weight", F.lit(0))))).first()
-    return (sums[1] or 0) / sums[0] if sums[0] else 1.0
+            groups: dict[tuple, list[tuple]] = {}
+            for id_, label, dim, vector, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if (label, dim) in queries:
+                    groups.setdefault((label, dim), []).append((id_, vector, n))
+            for key, rows in groups.items():
+                for i in range(0, len(queries[key]), block):
+                    some = queries[key][i : i + block]
+                    x, ids = unit([q[1] for q in some]), np.array([q[0] for q in some])
+                    for j in range(0, len(rows), block):
+                        own = rows[j : j + block]
+                        near = x @ unit([r[1] for r in own]).T >= threshold
+                        near &= ids[:, None] != np.array([r[0] for r in own])
+                        for q, n in zip(some, near @ np.array([r[2] for r in own], np.int64)):
+                            total[q[0]] += int(n)
+        yield emit([pair for pair in total.items() if pair[1]], schema)
+
+    truth = nodes.select("id", "label", "dim", "vector", "n").mapInArrow(run, "id long, truth long")
+    return truth.groupBy("id").agg(F.sum("truth").alias("truth"))
 
 
 def clustered(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -343,7 +368,9 @@ def clustered(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
     classes = stored(classes.withColumn("dim", (F.length("vector") / 8).cast("int")), "classes")
     sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("size"))
     bits = F.greatest(F.lit(0), F.least(F.lit(62), F.ceil(F.log2(F.col("size") / settings.bucket)))).cast("int")
-    sizes = stored(sizes.select("label", "dim", bits.alias("bits"), F.lit(settings.tables).alias("tables")), "sizes")
+    together = F.pow(F.lit(1 - math.acos(settings.threshold) / math.pi), bits)  # a pair at the threshold in one table
+    tables = F.when(bits > 0, F.greatest(F.lit(settings.tables), F.ceil(math.log(settings.miss) / F.log1p(-together)))).otherwise(settings.tables)
+    sizes = stored(sizes.select("label", "dim", bits.alias("bits"), tables.cast("int").alias("tables")), "sizes")
     nodes = stored(classes.join(sizes, ["label", "dim"]), "nodes")
 
     none = spark.createDataFrame([], LISTS)

@@ -150,6 +150,24 @@ def test_groups_that_fill_their_own_lists_are_linked_across(spark):
     assert got == embedding_links([(i, v.tolist(), 1) for i, v in enumerate(vectors)])
 
 
+def audit_tables(spark, n, pairs, found):
+    """Nodes of loners and linked pairs, and what was found of the pairs."""
+    rng = np.random.default_rng(2)
+    loners = rng.standard_normal((n, 32))
+    loners /= np.linalg.norm(loners, axis=1, keepdims=True)
+    twins = np.vstack([around(v, 0.99, 1, rng) for v in loners[:pairs]])
+    rows = [(i, 1, 32, bytearray(v.tobytes()), 1) for i, v in enumerate(np.vstack([loners, twins]))]
+    nodes = spark.createDataFrame(rows, "id long, label int, dim int, vector binary, n long")
+    ends = [(i, i, 1) for i in range(found)] + [(n + i, i, 1) for i in range(found)]
+    return nodes, spark.createDataFrame(ends, "id long, component long, weight long")
+
+
+def test_audit_sees_pairs_of_which_nothing_was_found(spark):
+    nodes, found = audit_tables(spark, 4000, 20, 10)
+    assert neighbours.audited(nodes, found, neighbours.Settings()) == 0.5
+    assert neighbours.audited(*audit_tables(spark, 300, 20, 20), neighbours.Settings()) == 1
+
+
 def test_runs_share_half():
     assert list(neighbours.runs(iter("abcdefg"), 4)) == [list("abcd"), list("cdef"), list("efg")]
     assert list(neighbours.runs(iter("abcd"), 4)) == [list("abcd")] and list(neighbours.runs(iter(""), 4)) == []
