@@ -3,7 +3,8 @@
 1. Vectors that are equal in label and components form a class, stood for by its smallest id and a count.
 2. Every vector starts with neighbours from a few random hyperplane tables, whose buckets hold
    a bounded number of vectors on average at any input size. The number of tables grows with that of hyperplanes, so that a
-   lone pair at the threshold is missed by all with a chance of ``miss``.
+   lone pair at the threshold is missed by all with a chance of ``miss``. A bucket out of bounds
+   is split by further hyperplanes through one of its vectors until it is within them.
 3. NN-descent: around every vector its neighbours and those whose neighbour it is are joined with each
    other, and each keeps the ``neighbours`` most similar ones it has met; repeated until lists
    hardly change. Neighbours below ``explore`` are not kept: they lead to no link.
@@ -49,7 +50,6 @@ class Settings:
     neighbours: int = 12
     tables: int = 8
     bucket: int = 64
-    rounds: int = 6
     settled: float = 0.001
     block: int = 512
     miss: float = 0.01
@@ -166,6 +166,47 @@ def dealt(nodes: DataFrame, settings: Settings, attempt: int) -> DataFrame:
     return nodes.select("id", "label", "dim", "bits", "tables", "vector").mapInArrow(run, place_type(nodes))
 
 
+def refined(places: DataFrame, vectors: DataFrame, settings: Settings) -> DataFrame:
+    """``places`` (label, dim, code, id) with oversized ones split by hyperplanes through one of their own vectors.
+
+    Repeated until all are within bounds. A place that such planes leave whole holds vectors
+    that are equal up to rounding; it stays, and its adjoining runs share half.
+    """
+    most = 8 * settings.bucket
+    split = place_type(places) + ", whole long"
+    schema = to_arrow_schema(StructType.fromDDL(split))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes: dict[int, np.ndarray] = {}
+        for batch in batches:
+            out = []
+            for label, dim, code, id_, vector, middle, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if code not in planes:
+                    if len(planes) == 5000:
+                        planes.clear()
+                    bits = 1 + math.ceil(math.log2(n / most))
+                    planes[code] = np.random.default_rng([code & (2**63 - 1), dim]).standard_normal((bits, dim))
+                sides = planes[code] @ (np.frombuffer(vector, np.float64) - np.frombuffer(middle, np.float64)) > 0
+                out.append((label, dim, code_of(code, int(sides @ (1 << np.arange(len(sides))))), id_, n))
+            yield emit(out, schema)
+
+    rest, within = places.withColumn("whole", F.lit(0).cast("long")), []
+    while True:
+        rest = stored(rest, "places")
+        pivot = F.min_by("id", F.xxhash64("id", "code")).alias("pivot")
+        counts = rest.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("n"), F.max("whole").alias("before"), pivot)
+        big = stored(counts.where((F.col("n") > most) & (F.col("n") != F.col("before"))), "big")
+        if big.isEmpty():
+            break
+        within.append(rest.join(big, PLACE, "left_anti"))
+        middles = big.join(vectors.select(F.col("id").alias("pivot"), F.col("vector").alias("middle")), "pivot")
+        inside = rest.join(middles, PLACE).join(vectors, "id")
+        rest = inside.select(*PLACE, "id", "vector", "middle", "n").mapInArrow(run, split)
+    for each in within:
+        rest = rest.unionByName(each)
+    return rest.drop("whole")
+
+
 def met(places: DataFrame, state: DataFrame, settings: Settings) -> DataFrame:
     """Lists found by joining all of one place; ``state`` has id, part, vector and worst."""
     lists = to_arrow_schema(StructType.fromDDL(LISTS))
@@ -203,29 +244,29 @@ def merged(lists: DataFrame, settings: Settings) -> DataFrame:
 
 
 def searched(members: DataFrame, places: DataFrame, known: DataFrame, first: DataFrame, settings: Settings) -> DataFrame:
-    """The lists ``first`` and what ``places`` hold, improved by NN-descent.
+    """The lists ``first`` and what ``places`` hold, improved by NN-descent until they settle.
 
     ``members`` has id, label, dim, part and vector; only vectors of different parts get into lists. Around every
     node all are joined that are its neighbours or have it as theirs, in these lists or the ``known`` ones.
     """
     explore, size = settings.explore, F.size("others")
+    vectors = members.select("id", "vector")
     fresh = met(places, members.withColumn("worst", F.lit(explore)), settings)
     lists = stored(merged(first.union(fresh), settings), "lists")
     total = members.count()
-    for _ in range(settings.rounds):
+    while True:
         worst = F.when(size >= settings.neighbours, F.array_min("sims")).otherwise(F.lit(explore))
         state = members.join(lists.select("id", worst.alias("worst")), "id", "left").fillna(explore, ["worst"])
         edges = known.union(lists).select(F.col("id").alias("u"), F.explode("others").alias("v"))
         both = edges.union(edges.select("v", "u")).union(members.select(F.col("id").alias("u"), F.col("id").alias("v"))).distinct()
         around = both.join(members.select(F.col("id").alias("u"), "label", "dim"), "u")
-        around = around.select("label", "dim", F.col("u").alias("code"), F.col("v").alias("id"))
+        around = refined(around.select("label", "dim", F.col("u").alias("code"), F.col("v").alias("id")), vectors, settings)
         better = stored(merged(lists.union(met(around, state, settings)), settings), "lists")
         old = lists.select("id", F.col("others").alias("old"))
         changed = better.join(old, "id", "left").where(~F.col("others").eqNullSafe(F.col("old"))).count()
         lists = better
         if changed <= settings.settled * total:
-            break
-    return lists
+            return lists
 
 
 def linked(lists: DataFrame, settings: Settings) -> DataFrame:
@@ -372,12 +413,13 @@ def clustered(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
     tables = F.when(bits > 0, F.greatest(F.lit(settings.tables), F.ceil(math.log(settings.miss) / F.log1p(-together)))).otherwise(settings.tables)
     sizes = stored(sizes.select("label", "dim", bits.alias("bits"), tables.cast("int").alias("tables")), "sizes")
     nodes = stored(classes.join(sizes, ["label", "dim"]), "nodes")
+    vectors = nodes.select("id", "vector")
 
     none = spark.createDataFrame([], LISTS)
     lists, links = none, spark.createDataFrame([], "a long, b long")
     members = nodes.select("id", "label", "dim", F.col("id").alias("part"), "vector")
     for attempt in range(settings.attempts):
-        places = stored(dealt(nodes, settings, attempt), "places")
+        places = stored(refined(dealt(nodes, settings, attempt), vectors, settings), "places")
         lists = searched(members, places, none, lists, settings)
         links = stored(links.union(linked(lists, settings)).distinct(), "links")
         links, component, open_ = spread(nodes, places, lists, links, settings)

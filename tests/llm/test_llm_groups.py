@@ -1,6 +1,7 @@
 """Near-duplicates, components, embeddings, mixing, pages, conversations and the pipeline."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -168,6 +169,29 @@ def test_audit_sees_pairs_of_which_nothing_was_found(spark):
     assert neighbours.audited(*audit_tables(spark, 300, 20, 20), neighbours.Settings()) == 1
 
 
+def test_crowded_places_are_split_until_within_bounds(spark):
+    rng = np.random.default_rng(3)
+    crowd = around(np.eye(32)[0], 0.9, 1500, rng)
+    crowd = np.vstack([crowd, np.tile(np.eye(32)[1], (100, 1))])  # no plane can split these
+    rows = [(i, bytearray(v.tobytes())) for i, v in enumerate(crowd)]
+    vectors = spark.createDataFrame(rows, "id long, vector binary")
+    places = spark.createDataFrame([(1, 32, 5, i) for i in range(1600)], "label int, dim int, code long, id long")
+    got = neighbours.refined(places, vectors, neighbours.Settings(bucket=8)).collect()
+    assert sorted(r.id for r in got) == list(range(1600))
+    sizes = Counter(r.code for r in got)
+    assert sorted(sizes.values())[-2] <= 64 and sizes.most_common(1)[0][1] in range(100, 165)
+    assert len({r.code for r in got if r.id >= 1500}) == 1
+
+
+def test_pairs_in_a_narrow_cone_are_found(spark):
+    rng = np.random.default_rng(4)
+    cone = around(np.eye(64)[0], 0.7, 1500, rng)
+    vectors = np.vstack([cone, *(around(v, 0.981, 1, rng) for v in cone[:300])])
+    got = {r.vec_id: r.n_links for r in neighbours.clustered(embedded(spark, vectors), neighbours.Settings(bucket=8)).collect()}
+    truth = {i: n for i, (n, _) in embedding_links([(i, v.tolist(), 1) for i, v in enumerate(vectors)]).items()}
+    assert sum(got.values()) >= 0.95 * sum(truth.values()) and all(got[i] <= truth[i] for i in truth)
+
+
 def test_runs_share_half():
     assert list(neighbours.runs(iter("abcdefg"), 4)) == [list("abcd"), list("cdef"), list("efg")]
     assert list(neighbours.runs(iter("abcd"), 4)) == [list("abcd")] and list(neighbours.runs(iter(""), 4)) == []
