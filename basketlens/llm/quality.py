@@ -10,7 +10,8 @@ The language's histograms are sums over all documents with that ``lang``; the do
 language is tried first, the others only if that one rejects it, so a wrong or missing
 ``lang`` does not cost a clean document. Word counts are summed inside each task before the
 shuffle; what reaches the driver is ``common_words`` rows and a row of classes per language, and
-languages with fewer than ``min_language_words`` words give no reference.
+languages with fewer than ``min_language_words`` words give no reference. A document whose ``lang`` gives none
+is not judged by histograms: those of other languages say nothing about it.
 
 Base rules come first: at least ``min_words`` words, and at most ``max_repeat_percent`` per
 cent of them inside an eight-word window that occurs twice.
@@ -215,7 +216,7 @@ def judge(found: dict, rules: Rules) -> Callable[[str | None, str | None], list]
         failed = len(words) < rules.min_words or 100 * features[4] > rules.max_repeat_percent * len(words)
         best: tuple = (None, None)
         fits = True
-        if not failed and found:
+        if not failed and found and (lang is None or lang in found):
             classes, counts = class_counts(text), Counter(data.lower().split())
             word_limit = rules.max_word_distance + rules.word_distance_noise / math.sqrt(len(words))
             fits = False

@@ -69,6 +69,17 @@ def test_quality_odd_texts_and_clashing_columns(spark):
     assert quality.assessed(alone).first().kept is False  # repeats
 
 
+def test_quality_keeps_clean_documents_of_a_rare_language(spark):
+    draw = random.Random(6)
+    common, rare = [f"c{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(150)], [f"r{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(150)]
+    rows = [(i, " ".join(draw.choices(common, k=300)), "en") for i in range(40)]
+    rows += [(100 + i, " ".join(draw.choices(rare, k=150)), "is") for i in range(10)]
+    rows += [(200, "again and " * 100, "is"), (201, " ".join(draw.choices(rare, k=150)), "en"), (202, " ".join(draw.choices(rare, k=150)), None)]
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.assessed(documents(spark, rows)).collect()}
+    assert all(got[i] == (False, True) for i in [*range(40), *range(100, 110)])
+    assert got[200] == (True, False) and got[201] == got[202] == (False, False)
+
+
 def test_distance_is_between_zero_and_one():
     p = np.array([0.5, 0.5, 0])
     assert quality.distance(np.array([5, 5, 0]), p) == 0
