@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, chat, html, language, mixing, neardup, neighbours, quality, secrets, toxicity
+from basketlens.llm import bpe, chat, html, language, leaks, mixing, neardup, neighbours, phrases, quality, rtree, secrets, toxicity
 from basketlens.llm.arrow import word_count
 from basketlens.session import configure, stored
 
@@ -251,3 +251,107 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
       + length(regexp_replace(role || text, '[^\\<\[]', '', 'g')))::BIGINT AS formatted_chars
 FROM rows GROUP BY conv_id
 """
+
+
+@query
+def op11_aho_corasick_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return leaks.scanned(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"]).drop("hits")
+
+
+SQL["op11_aho_corasick_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+parts AS (
+  SELECT item_id, w, least(10, len(w)) AS width, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item_id, width, array_to_string(w[i:i + width - 1], ' ') AS win FROM parts),
+widths AS (SELECT DISTINCT width FROM wins),
+places AS (SELECT r, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM d, widths WHERE len(w) >= width),
+met AS (
+  SELECT p.r, p.i, p.width, s.item_id FROM (SELECT r, i, width, array_to_string(w[i:i + width - 1], ' ') AS win FROM places) p
+  JOIN wins s ON p.width = s.width AND p.win = s.win),
+hit AS (SELECT r, count(DISTINCT i + k) AS n FROM (SELECT DISTINCT r, i, width FROM met), range(10) t(k) WHERE k < width GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM met WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items.listed, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@query
+def op12_rtree_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"), "embedding")
+    return rtree.mined(rows, F.col("id") % 100 == 0)
+
+
+SQL["op12_rtree_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor, e.id, e.label = a.label AS same, list_dot_product(a.v::DOUBLE[], e.v::DOUBLE[])::BIGINT AS score
+  FROM e a JOIN e ON a.id <> e.id WHERE a.id % 100 = 0),
+positives AS (
+  SELECT anchor, id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+ranked AS (
+  SELECT p.anchor AS anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id)::INT AS rank
+  FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+    AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op13_tiled_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+SQL["op13_tiled_collocations"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (
+  SELECT r, lang, string_split(trim(regexp_replace(piece, '[\x20\x09]+', ' ', 'g')), ' ') AS w
+  FROM (SELECT r, lang, unnest(string_split(translate(t, '.,;:!?' || chr(11) || chr(12) || chr(13), repeat(chr(10), 9)), chr(10))) AS piece FROM d)
+  WHERE regexp_matches(piece, '[^\x20\x09]')),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 5) t(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS n FROM grams GROUP BY lang, k, phrase),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+frequent AS MATERIALIZED (SELECT * FROM f WHERE n >= 30),
+candidates AS (SELECT * FROM frequent WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.n AS a, s AS cut, x.n AS l, y.n AS r, ((2000000::HUGEINT * c.n) // (x.n + y.n))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS s FROM candidates) c
+  JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:s], ' ')
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[s + 1:], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_parts AS (
+  SELECT lang, n, array_to_string(w[b:b + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, n, m, unnest(range(1, k - m + 2)) AS b FROM candidates, range(2, 4) t(m) WHERE m < k)),
+around AS (SELECT lang, phrase, max(n) AS n FROM inner_parts GROUP BY lang, phrase),
+kept AS (
+  SELECT c.* FROM lowest c LEFT JOIN around o ON o.lang = c.lang AND o.phrase = c.phrase
+  WHERE o.n IS NULL OR 100::HUGEINT * o.n < 80::HUGEINT * c.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, total.n, score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""

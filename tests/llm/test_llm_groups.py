@@ -27,7 +27,7 @@ def test_against_sql(spark, name):
 def test_queries_are_registered():
     names = entry.queries()
     assert catalog.QUERIES.keys() <= names.keys() and "pipeline" in names
-    assert {int(name[2:].split("_")[0]) for name in catalog.QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in catalog.QUERIES} == set(range(1, 14))
 
 
 # components
