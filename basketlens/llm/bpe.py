@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from basketlens.llm.arrow import map_rows
+from basketlens.llm.arrow import with_values, worker_kept
 
 CACHED_PIECE = 64  # longer pieces are not kept
 CACHE_SIZE = 150_000  # pieces in either half of the cache
@@ -147,16 +147,9 @@ class Coder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_CODERS: dict[tuple[bytes, str], Coder] = {}
-
-
 def shared_coder(data: bytes, pattern: str) -> Coder:
     """The worker's coder of a vocabulary: the next task finds its caches warm."""
-    key = hashlib.sha256(data).digest(), pattern
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(read_ranks(data), pattern)
-    return _CODERS[key]
+    return worker_kept(("bpe", hashlib.sha256(data).digest(), pattern), lambda: Coder(read_ranks(data), pattern))
 
 
 def with_ids(docs: DataFrame, rank_file: str, pattern: str, digest: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -170,18 +163,17 @@ def with_ids(docs: DataFrame, rank_file: str, pattern: str, digest: bool = False
     added = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "n_tokens long, ids array<int>"
     names = StructType.fromDDL(added).names
     others = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    schema = StructType([docs.schema[c] for c in others] + StructType.fromDDL(added).fields)
 
     def start() -> Callable:
         coder = shared_coder(data.value, pattern)
 
-        def row(text: str | None, *values) -> list:
+        def row(text: str | None) -> list:
             ids = coder.encode(text or "")
             if not digest:
-                return [*values, len(ids) // 4, np.frombuffer(ids, "<i4")]
+                return [len(ids) // 4, np.frombuffer(ids, "<i4")]
             decoded = coder.decode(ids)
-            return [*values, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()]
+            return [len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()]
 
         return row
 
-    return map_rows(docs.select("text", *others), schema, start)
+    return with_values(docs, ["text"], added, start, others)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from basketlens.llm.arrow import emit, map_rows
+from basketlens.llm.arrow import emit, small_batches, with_values
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
@@ -164,7 +164,7 @@ def language_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
         yield out()
 
     known = docs.where("lang is not null and text is not null").select("lang", "text")
-    parts = known.mapInArrow(run, "lang string, kind int, item binary, n long")
+    parts = small_batches(known).mapInArrow(run, "lang string, kind int, item binary, n long")
     return parts.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
 
 
@@ -239,10 +239,4 @@ def assessed(docs: DataFrame, rules: Rules = Rules(), keep: list[str] | None = N
     found = references(docs.select("lang", "text"), rules)
     names = StructType.fromDDL(added).names
     others = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    schema = StructType([docs.schema[c] for c in others] + StructType.fromDDL(added).fields)
-
-    def start() -> Callable:
-        row = judge(found, rules)
-        return lambda text, lang, *values: [*values, *row(text, lang)]
-
-    return map_rows(docs.select("text", "lang", *others), schema, start)
+    return with_values(docs, ["text", "lang"], added, lambda: judge(found, rules), others)
