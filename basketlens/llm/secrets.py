@@ -22,8 +22,10 @@ added one has their name.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import heapq
+import itertools
 import json
 import random
 import re
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from basketlens.llm.arrow import emit, map_rows
+from basketlens.llm.arrow import emit, with_values
 from basketlens.session import stored
 
 # fixed values: what the base patterns are
@@ -57,6 +59,8 @@ _DIGIT = re.compile(r"[0-9]")
 _GLUED = frozenset("=+/-_.~:")
 OUTSIDE, BEGIN, INSIDE = range(3)
 PLACEHOLDER = "[secret]"
+REACH = 8  # tokens that a cue counts for
+NAMED_LENGTH = 4
 
 Span = tuple[int, int, int]  # start, kind's place, end
 
@@ -149,7 +153,7 @@ class Stretch:
             following = self.words[i + 1] if i + 1 < len(self.words) else self.after
             rows.append(
                 [*shape(word), f"-1={around(one)}", f"-2={around(two)}", f"-12={around(two)} {around(one)}"]
-                + [f"+1={around(following)}", f"glued={self.glued[i]}", "bias", *(file if i == 0 else [])]
+                + [f"+1={around(following)}", f"glued={self.glued[i]}", "bias", *file]
             )
         return rows
 
@@ -158,22 +162,31 @@ class Stretch:
 
 
 def stretches(text: str, least: int) -> Iterator[Stretch]:
-    """Every stretch of a text, line by line."""
+    """Every stretch of a text, line by line; words and cues before a line count for its first tokens.
+
+    A token may be a secret if it holds a digit and is ``least`` long, or if a cue stands among the eight tokens
+    before it and it is four long; what it is, the weights decide.
+    """
     low = text.lower()
     roots = [root for root in _ROOTS if root in low]
     if not roots and not _DIGIT.search(text):
         return
-    start = 0
+    start, reach, last = 0, 0, ""
     for line in text.split("\n"):
-        if _DIGIT.search(line) or roots and any(map(line.lower().__contains__, roots)):
+        cued = bool(roots) and any(map(line.lower().__contains__, roots))
+        if _DIGIT.search(line) or cued or reach:
             tokens = list(_TOKEN.finditer(line))
+            tail = [None, None, *_TOKEN.findall(last)][-2:]
+            near: list[bool] = []  # whether a cue is within reach of a token
+            for match in tokens:
+                near.append(reach > 0)
+                reach = REACH if around(match[0]) == "cue" or match[0].lower() in CUES else max(0, reach - 1)
             open_: list[int] = []
             for i, match in enumerate([*tokens, None]):
                 if match is not None:
                     word = match[0]
                     glued = i > 0 and tokens[i - 1].end() == match.start()
-                    named = any(around(t[0]) == "cue" or t[0].lower() in CUES for t in tokens[max(0, i - 4) : i])
-                    possible = len(word) >= least and (bool(_DIGIT.search(word)) or named)
+                    possible = len(word) >= least and bool(_DIGIT.search(word)) or near[i] and len(word) >= NAMED_LENGTH
                     part = bool(open_) and glued and len(word) < 3 and word[0] in _GLUED
                     if possible or part:
                         open_.append(i)
@@ -184,11 +197,12 @@ def stretches(text: str, least: int) -> Iterator[Stretch]:
                         [(start + tokens[j].start(), start + tokens[j].end()) for j in open_],
                         [tokens[j][0] for j in open_],
                         [j > 0 and tokens[j - 1].end() == tokens[j].start() for j in open_],
-                        [tokens[first - k][0] if first >= k else None for k in (2, 1)],
+                        [tokens[first - k][0] if first >= k else tail[first - k] for k in (2, 1)],
                         match[0] if match is not None else None,
                     )
                     open_ = []
         start += len(line) + 1
+        last = line if line.strip() else last
 
 
 # the field --------------------------------------------------------------------------------
@@ -387,6 +401,7 @@ def all_spans(text: str, model: Model | None, settings: Settings) -> tuple[list[
     if model is None:
         return base, base
     more: list[Span] = []
+    reach = list(itertools.accumulate((end for _, _, end in base), max))
     file: list[str] | None = None
     for stretch in stretches(text, settings.least_length):
         file = file_features(text) if file is None else file
@@ -397,7 +412,8 @@ def all_spans(text: str, model: Model | None, settings: Settings) -> tuple[list[
                 while last + 1 < len(tags) and tags[last + 1] == INSIDE:
                     last += 1
                 start, end = stretch.spans[i][0], stretch.spans[last][1]
-                if not any(s[0] < end and start < s[2] for s in base):
+                ahead = bisect.bisect_left(base, (end,))  # base spans that begin before this one's end
+                if not ahead or reach[ahead - 1] <= start:
                     more.append((start, len(KINDS) - 1, end))
     return base, sorted(base + more)
 
@@ -426,27 +442,26 @@ def scanned(docs: DataFrame, settings: Settings = Settings(), keep: list[str] |
     counted anew if there is such a column).
     """
     model = fit(sample(docs, settings), settings)
-    added = StructType([] if redacting else StructType.fromDDL(ADDED).fields)
-    others = [c for c in (docs.columns if keep is None else keep) if c not in added.names]
-    schema = StructType([docs.schema[c] for c in others] + added.fields)
     if redacting:
-        docs = docs.withColumn("_text", F.col("text"))
-        place = {c: i for i, c in enumerate(others)}
+        counting = "n_chars" in docs.columns
+        changed = ["text", "n_chars"] if counting else ["text"]
+        added, others = docs.select(*changed).schema, docs.columns if keep is None else keep
+    else:
+        changed, added = ["text"], StructType.fromDDL(ADDED)
+        others = [c for c in (docs.columns if keep is None else keep) if c not in added.names]
 
     def start() -> Callable:
-        def scan(text: str | None, *values) -> list:
+        def scan(text: str | None) -> list:
             base, spans = all_spans(text or "", model, settings)
             counts = [sum(kind == k for _, kind, _ in base) for k in range(3)]
-            return [*values, *counts, hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans)]
+            return [*counts, hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans)]
 
-        def clean(text: str | None, *values) -> list:
-            values = list(values)
-            if text is not None:
-                values[place["text"]] = cleaned = redact(text, all_spans(text, model, settings)[1])
-                if "n_chars" in place and cleaned != text:
-                    values[place["n_chars"]] = len(cleaned)
-            return values
+        def clean(text: str | None, *n_chars) -> list:
+            if text is None:
+                return [text, *n_chars]
+            cleaned = redact(text, all_spans(text, model, settings)[1])
+            return [cleaned, *(n if cleaned == text else len(cleaned) for n in n_chars)]
 
         return clean if redacting else scan
 
-    return map_rows(docs.select("_text" if redacting else "text", *others), schema, start)
+    return with_values(docs, changed, added, start, others)
