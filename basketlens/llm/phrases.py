@@ -49,10 +49,11 @@ class Settings:
     scale: int = 2_000_000
     inside_percent: int = 80
     top: int = 2000  # phrases reported for each language
-    chunk_words: int = 1 << 19
+    salts: int = 64  # parts of a language that are ranked on their own first
+    chunk_words: int = 1 << 18
     tile: int = 1024  # ranks on either side of a tile
     grid: int = 64  # tiles on either side that may be crowded
-    buffer: int = 1 << 22  # pairs counted at once
+    buffer: int = 1 << 21  # pairs counted at once
 
 
 class Numbers(dict):
@@ -147,10 +148,11 @@ def pairs_of(stream: np.ndarray, width: int) -> np.ndarray:
 def tile_counts(cells: np.ndarray, width: int, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """(cells, counts): crowded tiles by direct address, all others by sorted coordinates."""
     tile, grid = settings.tile, settings.grid
-    left, right = np.divmod(cells, width)
-    rows, columns = left // tile, right // tile
-    near = (rows < grid) & (columns < grid)
-    at = np.where(near, rows * grid + columns, grid * grid)
+    left = cells // width
+    right = cells - left * width
+    near = (left < tile * grid) & (right < tile * grid)
+    at = np.full(len(cells), grid * grid, np.int32)
+    at[near] = left[near] // tile * grid + right[near] // tile
     crowded = np.bincount(at, minlength=grid * grid + 1)[:-1] >= tile * tile // 8
     dense = np.append(crowded, False)[at]
     found, counts = [], []
@@ -337,6 +339,9 @@ def collocations(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     scored = free.withColumn("cut", cut).select(
         "lang", F.array_join("words", " ").alias("phrase"), "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score")
     )
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    order = W.orderBy(F.desc("score"), F.desc("a"), "phrase")
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(settings.salts))  # a language's first are among its salts' first
+    scored = scored.withColumn("rank", F.row_number().over(order.partitionBy("lang", salt))).where(F.col("rank") <= settings.top)
+    order = order.partitionBy("lang")
     best = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= settings.top)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
