@@ -21,6 +21,8 @@ def connected(edges: DataFrame, name: str = "components", most_rounds: int = 60)
     """
     known = edges.where("a is not null and b is not null and a <> b")
     links = stored(known.select(F.greatest("a", "b").alias("child"), F.least("a", "b").alias("parent")).distinct(), name)
+    if links.isEmpty():
+        return links.select(F.col("child").alias("node"), F.col("parent").alias("component"))
     state = None
     for _ in range(most_rounds):
         both = links.select(F.col("child").alias("node"), F.col("parent").alias("other")).union(

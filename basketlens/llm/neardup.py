@@ -5,14 +5,16 @@
 2. Many universal hash functions give the set's minima, cut into bands; documents that agree
    in a band are in one bucket. With 48 bands of 6 rows two documents at the threshold share
    no bucket once in two million pairs.
-3. In every bucket each document is compared with the bucket's smallest one only. The pairs'
-   full sets are compared, and what is linked is joined into components by alternating large-star
-   and small-star steps.
-4. What that star leaves open is settled exactly: buckets whose documents are still in several components
-   chain up to families, and in a family every document outside its largest component
-   is compared with all others, in blocks, without a pair ever becoming a row. Pairs within the largest
-   component need no comparison, so a large group of copies costs its size and not its square; the rest costs the number of
-   loners times the size of their family.
+3. In every bucket each document meets the bucket's smallest one only. Pairs are thinned by their signatures: one byte of each of the
+   288 minima says how similar they are, and pairs ``margin`` per cent below the threshold go. At a margin of 12 that is five standard
+   deviations, so one pair in three million at the threshold is lost by it. What remains is compared on full sets, and what is linked
+   is joined into components by alternating large-star and small-star steps.
+4. What the stars leave open is settled inside the buckets: where a bucket's documents are still in several components,
+   those outside its largest one meet all others of the bucket in blocks, signature against signature. Pairs that pass, are of two
+   components and share no earlier open bucket are compared on full sets there and then, so no pair becomes a row unless it is a link.
+
+So full sets are compared in proportion to the pairs that pass the signature test and are not joined already: a group of near copies costs
+its size plus its loners times their buckets, and documents that only share a bucket cost a comparison of signatures.
 
 Sets are compared as a whole, on the 64-bit hashes of their shingles. Ids, classes and links are
 tables; nothing but round counters reaches the driver.
@@ -25,6 +27,7 @@ hold for all, every row comes back. Other columns of the input play no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from basketlens.llm.arrow import emit, map_rows
+from basketlens.llm.arrow import emit, small_batches, with_values, worker_kept
 from basketlens.llm.components import connected
 from basketlens.session import stored
 
@@ -46,7 +49,8 @@ class Settings:
     percent: int = 80  # linked if 100 * intersection >= percent * union
     bands: int = 48
     rows: int = 6
-    queries_per_block: int = 64
+    margin: int = 12  # per cent below the threshold at which a signature still lets a pair pass
+    queries_per_block: int = 128
     members_per_block: int = 1024
     bitmap_words: int = 1 << 19
 
@@ -55,13 +59,12 @@ class WordHashes(dict):
     """Word to its 64-bit hash, forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-_HASHES = WordHashes()
 _MASK = (1 << 64) - 1
 
 
@@ -76,7 +79,7 @@ def shingles(text: str | None) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(worker_kept("neardup", WordHashes).__getitem__, words), np.uint64, len(words))
     with np.errstate(over="ignore"):
         if len(words) == 1:
             return _mixed(hashes + np.uint64(1))
@@ -100,31 +103,94 @@ class Signer:
             np.minimum(low, (x[i : i + step] * self.a + self.b).min(0), out=low)
         return low
 
-    def bands(self, found: np.ndarray) -> np.ndarray:
+    def bands(self, minima: np.ndarray) -> np.ndarray:
         """One 64-bit key for each band."""
         with np.errstate(over="ignore"):
             key = self.salt.copy()
-            for column in self.minima(found).reshape(self.shape).T.astype(np.uint64):
+            for column in minima.reshape(self.shape).T.astype(np.uint64):
                 key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
         return key.view(np.int64)
 
+    def sketch(self, minima: np.ndarray) -> bytes:
+        """One byte of each minimum."""
+        with np.errstate(over="ignore"):
+            return (minima * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8).tobytes()
+
+
+def least_matches(settings: Settings) -> int:
+    """Equal bytes of two sketches from which on a pair passes; one byte in 256 is equal by chance."""
+    share = max(0, settings.percent - settings.margin) / 100
+    return math.ceil(settings.bands * settings.rows * (share + (1 - share) / 256))
+
 
 def signed(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(doc_id, n_shingles, same, bands); documents with equal sets have equal ``same``."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """(doc_id, n_shingles, same, bands, sketch); documents with equal sets have equal ``same``."""
 
     def start():
         signer = Signer(settings)
 
-        def row(doc_id, text):
+        def row(text):
             found = shingles(text)
             if not len(found):
-                return [doc_id, 0, None, None]
-            return [doc_id, len(found), xxhash.xxh3_128_digest(found.tobytes()), signer.bands(found)]
+                return [0, None, None, None]
+            minima = signer.minima(found)
+            return [len(found), xxhash.xxh3_128_digest(found.tobytes()), signer.bands(minima), signer.sketch(minima)]
 
         return row
 
-    return map_rows(docs.select("doc_id", "text"), f"doc_id {kind}, n_shingles long, same binary, bands array<long>", start)
+    return with_values(docs, ["text"], "n_shingles long, same binary, bands array<long>, sketch binary", start, ["doc_id"])
+
+
+def alike(blocks: DataFrame, sketches: DataFrame, settings: Settings, texts: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of a query and a member of every block whose sketches let them pass, and with ``texts`` their full sets too.
+
+    ``blocks`` is as for ``compared`` and has part, null for one of its own, and buckets, the open ones of a document. Pairs of one part, and
+    pairs that share a lower bucket than the block's, are left out.
+    """
+    names = [c for c in blocks.columns if c not in ("id", "query", "part", "buckets")]
+    schema = to_arrow_schema(StructType.fromDDL("a long, b long"))
+    least, percent, full = least_matches(settings), settings.percent, texts is not None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, queries, sets, table = None, [], {}, None
+        for batch in batches:
+            found = []
+            text = batch.column(batch.num_columns - 1)  # read only where signatures pass
+            columns = [c.to_pylist() for c in batch.columns[: batch.num_columns - (full)]]
+            for at, (*key, query, own, part, buckets, sketch) in enumerate(zip(*columns)):
+                if key != block:
+                    block, queries, sets, table = key, [], {}, None
+                if query:
+                    queries.append((own, part, buckets, sketch, text[at] if full else None))
+                    continue
+                if not queries:
+                    continue
+                if table is None:
+                    table = np.frombuffer(b"".join(q[3] for q in queries), np.uint8).reshape(len(queries), -1)
+                matches = np.count_nonzero(table == np.frombuffer(sketch, np.uint8), axis=1)
+                mine = None
+                for i in np.flatnonzero(matches >= least):
+                    other, its_part, its_buckets, _, its_text = queries[i]
+                    if other == own or part is not None and part == its_part:
+                        continue
+                    if buckets and its_buckets and min(set(buckets).intersection(its_buckets)) != key[0]:
+                        continue
+                    if full:
+                        mine = shingles(text[at].as_py()) if mine is None else mine
+                        if i not in sets:
+                            sets[i] = shingles(its_text.as_py())
+                        shared = np.intersect1d(mine, sets[i], assume_unique=True).size
+                        if 100 * shared < percent * (len(mine) + len(sets[i]) - shared):
+                            continue
+                    found.append((min(other, own), max(other, own)))
+            if found:
+                yield emit(found, schema)
+
+    met = blocks.join(sketches, "id")
+    met = met if texts is None else met.join(texts, "id")
+    met = met.select(*names, "query", "id", "part", "buckets", "sketch", *([] if texts is None else ["text"]))
+    dealt = met.repartition(*names).sortWithinPartitions(*names, F.col("query").desc(), "id")
+    return small_batches(dealt).mapInArrow(run, "a long, b long")
 
 
 def compared(blocks: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -166,11 +232,11 @@ def compared(blocks: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
 
     rows = blocks.join(texts, "id").select(*names, "query", "id", "text")
     dealt = rows.repartition(*names).sortWithinPartitions(*names, F.col("query").desc(), "id")
-    return dealt.mapInArrow(run, "a long, b long")
+    return small_batches(dealt).mapInArrow(run, "a long, b long")
 
 
 def blocked(queries: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
-    """Every query of a group met with every member of it: (g, qc, mc, id, query), in blocks of bounded size."""
+    """Every query of a group met with every member of it: (g, qc, mc, id, ..., query), in blocks of bounded size."""
     counts = (
         queries.select("g", F.lit(1).alias("q"), F.lit(0).alias("m"))
         .union(members.select("g", F.lit(0), F.lit(1)))
@@ -183,13 +249,21 @@ def blocked(queries: DataFrame, members: DataFrame, settings: Settings) -> DataF
         F.ceil(F.col("m") / settings.members_per_block).cast("int").alias("ms"),
     )
     cuts = stored(cuts, "cuts")
+    rest = [c for c in queries.columns if c != "g"]
     own = lambda column: F.pmod(F.xxhash64("id", F.lit(5)), F.col(column)).cast("int")
     every = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
-    asked = queries.join(cuts, "g").select("g", own("qs").alias("qc"), every("ms").alias("mc"), "id", F.lit(True).alias("query"))
-    met = members.join(cuts, "g").select("g", every("qs").alias("qc"), own("ms").alias("mc"), "id", F.lit(False).alias("query"))
+    asked = queries.join(cuts, "g").select("g", own("qs").alias("qc"), every("ms").alias("mc"), *rest, F.lit(True).alias("query"))
+    met = members.join(cuts, "g").select("g", every("qs").alias("qc"), own("ms").alias("mc"), *rest, F.lit(False).alias("query"))
     return asked.union(met)
 
 
+def linked(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    centers = pairs.select(F.col("a").alias("g"), F.col("a").alias("id")).distinct()
+    rays = pairs.select(F.col("a").alias("g"), F.col("b").alias("id"))
+    return compared(blocked(centers, rays, settings), texts, settings)
+
+
 def chosen(texts: DataFrame, asked: DataFrame, settings: Settings) -> DataFrame:
     """The rows of ``texts`` whose id is in ``asked``.
 
@@ -208,21 +282,28 @@ def clustered(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
     signatures = stored(signed(docs, settings), "signatures")
     known = signatures.where("n_shingles > 0 and doc_id is not null")
-    classes = known.groupBy("same").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
-    classes = stored(classes, "classes")
+    classes = known.groupBy("same").agg(F.min("doc_id").alias("id"), F.min_by(F.struct("bands", "sketch"), "doc_id").alias("one"))
+    classes = stored(classes.select("same", "id", "one.bands", "one.sketch"), "classes")
 
     keys = classes.select("id", F.explode("bands").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    stars = stored(keys.join(buckets, "key").where("id <> center").select("id", "center").distinct(), "stars")
-
-    asked = stars.select("id").union(stars.select("center")).distinct()
-    texts = stored(chosen(docs.select(F.col("doc_id").alias("id"), "text"), asked, settings), "texts")
-    centers = stars.select(F.col("center").alias("g"), F.col("center").alias("id")).distinct()
-    rays = stars.select(F.col("center").alias("g"), "id")
-    links = stored(compared(blocked(centers, rays, settings), texts, settings), "links")
+    buckets = keys.groupBy("key").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = stored(keys.join(buckets, "key").select("key", "id", "center", "n"), "buckets")
+    stars = held.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
+    stars = stored(stars, "stars")
+
+    sketches, slim = classes.select("id", "sketch"), docs.select(F.col("doc_id").alias("id"), "text")
+    nobody = [F.lit(None).cast("long").alias("part"), F.lit(None).cast("array<long>").alias("buckets")]
+    centers = stars.select(F.col("a").alias("g"), F.col("a").alias("id"), *nobody).distinct()
+    rays = stars.select(F.col("a").alias("g"), F.col("b").alias("id"), *nobody)
+    pairs = stored(alike(blocked(centers, rays, settings), sketches, settings), "pairs")
+    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = stored(chosen(slim, asked, settings), "texts")
+    links = stored(linked(pairs, texts, settings), "links")
     parts = stored(connected(links), "parts")
 
-    more = stored(compared(open_blocks(asked, stars, parts, settings), texts, settings), "links")
+    members = open_members(held, parts)
+    texts = stored(chosen(slim, members.select("id").distinct(), settings), "texts")
+    more = stored(alike(blocked(members.where("lone").drop("lone"), members.drop("lone"), settings), sketches, settings, texts), "links")
     whole = connected(links.union(more))
 
     named = classes.select("same", "id").join(whole.withColumnRenamed("node", "id"), "id", "left")
@@ -237,23 +318,21 @@ def clustered(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
 
 
-def open_blocks(asked: DataFrame, stars: DataFrame, parts: DataFrame, settings: Settings) -> DataFrame:
-    """Blocks that compare what the stars left open: loners with all of their family."""
-    part_of = parts.select(F.col("node"), F.col("component"))
-    located = stored(
-        asked.join(part_of, asked.id == part_of.node, "left").select("id", F.coalesce("component", "id").alias("part")), "located"
-    )
-    here = located.select(F.col("id"), F.col("part").alias("a"))
-    there = located.select(F.col("id").alias("center"), F.col("part").alias("b"))
-    between = stars.join(here, "id").join(there, "center").where("a <> b").select("a", "b").distinct()
-    families = stored(connected(between, "families"), "families")
-    members = located.join(families, located.part == families.node).select("id", "part", F.col("component").alias("g"))
-    members = stored(members, "members")
-    sizes = members.groupBy("g", "part").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("g").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.sum("n").alias("n"))
-    largest = stored(largest.where("n > 2"), "largest")  # the only pair of two has been compared
-    joined = stored(members.join(largest, "g").select("g", "id", (F.col("part") == F.col("main")).alias("main")), "joined")
-    return blocked(joined.where("not main").select("g", "id"), joined.select("g", "id"), settings)
+def open_members(held: DataFrame, parts: DataFrame) -> DataFrame:
+    """(g, id, part, buckets, lone) for the buckets whose documents are in several components; the lone are outside the largest.
+
+    A bucket of two is its star, and one within a single component has nothing open.
+    """
+    part_of = parts.select(F.col("node").alias("id"), F.col("component").alias("part"))
+    located = held.where("n > 2").select("key", "id").join(part_of, "id", "left")
+    located = stored(located.select(F.col("key").alias("g"), "id", F.coalesce("part", "id").alias("part")), "located")
+    sizes = located.groupBy("g", "part").agg(F.count(F.lit(1)).alias("n"))
+    several = sizes.groupBy("g").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    several = stored(several.where("parts > 1").select("g", "main"), "several")
+    open_ = stored(located.join(several, "g"), "open")
+    buckets = open_.groupBy("id").agg(F.collect_set("g").alias("buckets"))  # one for each band at most
+    members = open_.join(buckets, "id").select("g", "id", "part", "buckets", (F.col("part") != F.col("main")).alias("lone"))
+    return stored(members, "members")
 
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
