@@ -136,6 +136,16 @@ def action_sequence(spark, sf_dir):
     return comparable(facts.action_sequence(events))
 
 
+@query
+def action_sequence_batches(spark, sf_dir):
+    """Sessions that go on in a second batch, numbered batch by batch with the last numbers carried over."""
+    events = testdata.behaviour_events(spark, sf_dir).withColumn("USER_SESSION", F.concat_ws("-", "USER_ID", "EVENT_TYPE"))
+    first = stored(facts.action_sequence(events.where("BATCHNUMBER = 1")), "numbered")
+    carried = stored(facts.last_actions(first), "carried")
+    second = facts.action_sequence(events.where("BATCHNUMBER = 2"), carried)
+    return comparable(first.unionByName(second).select("USER_SESSION", "PRODUCT_ID", "PRICE", "ACTION_ITEMS"))
+
+
 @query
 def purchase_filter(spark, sf_dir):
     events = testdata.behaviour_events(spark, sf_dir).where(facts.drop_unpaid_purchases())
@@ -396,6 +406,21 @@ def session_batches(spark, sf_dir):
     return comparable(spark.read.schema(first.schema).parquet(path).drop("ETLUPDATEDDATETIME"))
 
 
+@query
+def upsert_moving_partitions(spark, sf_dir):
+    """Users filed under labels with NULL and signs that folder names escape; those of the second batch change theirs."""
+    path = scratch_path(spark, "labels")
+    events = testdata.behaviour_events(spark, sf_dir)
+    users = lambda batch: events.where(F.col("BATCHNUMBER") == batch).groupBy("USER_ID").agg(F.count(F.lit(1)).alias("N"))
+    turn = F.col("USER_ID").cast("long") % 4
+    label = F.when(turn == 1, "x:1").when(turn == 2, "a/b 100%").when(turn == 3, "c=d")
+    first = users(1).withColumn("LABEL", label)
+    writers.overwrite_path(first, path, ["LABEL"])
+    second = users(2).where(turn < 3).withColumn("LABEL", F.when(turn == 1, "y").when(turn == 2, "x:1").otherwise("a/b 100%"))
+    merge.upsert_moving(spark, path, second, ["USER_ID"], ["LABEL"])
+    return spark.read.schema(first.schema).parquet(path)
+
+
 @query
 def upsert_fact_partitions(spark, sf_dir):
     """A stored, date-partitioned fact; only the partitions of the new batch are rewritten."""

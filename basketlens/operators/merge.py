@@ -151,21 +151,31 @@ def upsert_moving(
 
     Rewritten are the partitions that the source goes to and those that hold older rows of its
     keys; to find the latter only keys and partition columns of the table are read. A partition that
-    is left without a row is removed. The source must have one row per key, and keys must not be NULL.
+    is left without a row is removed by the name that Spark gives its folder. The source must have one row per key, and
+    keys must not be NULL. A run that stops before the removal leaves older rows beside the new ones; to repeat it finishes it.
     """
+    kinds = dict(source.dtypes)
+    # an empty string is stored in the folder of NULL
+    folder_values = [F.expr(f"nullif(`{c}`, '')").alias(c) if kinds[c] == "string" else F.col(c) for c in partition_by]
     with passing(source, "upsert-source") as source:
         target = spark.read.schema(source.schema).parquet(path)
         own = source.select(*keys)
         left = target.select(*keys, *partition_by).join(own, list(keys), "left_semi").select(*partition_by)
-        with passing(source.select(*partition_by).union(left).distinct(), "touched") as touched:
+        with passing(source.select(*partition_by).union(left).select(*folder_values).distinct(), "touched") as touched:
             current = touched_partitions(target, touched, partition_by)
             merged = current.join(own, list(keys), "left_anti").select(*source.columns).unionByName(source)
             with _staged(merged, path) as staged:
                 same = [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in partition_by]
-                places = staged.select(*partition_by).distinct().alias("s")
-                emptied = touched.alias("t").join(places, same, "left_anti").collect()  # a few dates
+                places = staged.select(*folder_values).distinct().alias("s")
+                emptied = touched.alias("t").join(places, same, "left_anti")
+                emptied = emptied.select(*(F.col(c).cast("string").alias(c) for c in partition_by)).collect()  # a few folders
                 laid_out(staged, partition_by).write.mode("overwrite").option(
                     "partitionOverwriteMode", "dynamic"
                 ).partitionBy(*partition_by).parquet(path)
             for row in emptied:
-                remove_path(spark, "/".join([path.rstrip("/"), *[f"{c}={row[c]}" for c in partition_by]]))
+                remove_path(spark, "/".join([path.rstrip("/"), *(partition_folder(spark, c, row[c]) for c in partition_by)]))
+
+
+def partition_folder(spark: SparkSession, column: str, value: str | None) -> str:
+    """The name of a partition's folder as Spark writes it: NULL has its own, special characters are escaped."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)

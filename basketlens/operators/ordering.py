@@ -43,6 +43,7 @@ def running_total(
     out: str,
     *,
     levels: Sequence[Mapping[str, Column]],
+    starts: DataFrame | None = None,
 ) -> DataFrame:
     """Running sum of ``weight`` within ``keys`` following the columns ``order`` (ascending, NULLs last).
 
@@ -51,36 +52,35 @@ def running_total(
     ordered and grouped. Rows are summed up within their finest group alone; the totals of the
     groups before it are added level by level, from tables that are partial aggregates of
     the rows. So the largest window group is the largest number of parts of one group, not the largest key.
-    Keys must not be NULL.
+    Keys must not be NULL. A level's columns are one struct, which never is NULL and equals another one
+    with the same NULLs: windows, sums and joins hash the same columns, and the rows are shuffled once.
+    ``starts`` (one row per key: the keys and ``start``) says from where a key's sum goes on, 0 if it has no row there; it
+    meets the totals of the coarsest level, never the rows.
     """
     cut = df.withColumns({name: column for level in levels for name, column in level.items()})
-    groups = [list(keys)]
-    for level in levels:
-        groups.append([*groups[-1], *level])
+    cut = cut.withColumns({f"__level{i}": F.struct(*level) for i, level in enumerate(levels)})
+    groups = [[*keys, *(f"__level{k}" for k in range(i))] for i in range(len(levels) + 1)]
     finest = Window.partitionBy(*groups[-1]).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     inside = F.sum(weight).over(finest.rowsBetween(Window.unboundedPreceding, 0))
     offsets = None
     totals = cut.groupBy(*groups[-1]).agg(F.sum(weight).alias("__total"))
-    for level, (upper, group) in reversed(list(zip(levels, zip(groups, groups[1:])))):
+    for (i, level), (upper, group) in reversed(list(zip(enumerate(levels), zip(groups, groups[1:])))):
         parts = totals if group == groups[-1] else totals.groupBy(*group).agg(F.sum("__total").alias("__total"))
-        walk = Window.partitionBy(*upper).orderBy(*[F.col(c).asc_nulls_last() for c in level])
+        walk = Window.partitionBy(*upper).orderBy(*[F.col(f"__level{i}.{c}").asc_nulls_last() for c in level])
         before = F.coalesce(F.sum("__total").over(walk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         own = parts.select(*group, before.alias("__before"))
+        if not i and starts is not None:
+            begun = starts.select(*keys, F.col("start").alias("__start"))
+            own = own.join(begun, list(keys), "left").withColumn("__before", F.col("__before") + F.coalesce("__start", F.lit(0)))
+            own = own.drop("__start")
         if offsets is None:
             offsets = own
         else:
             coarser = own.withColumnRenamed("__before", "__more")
-            offsets = _matched(offsets, coarser, group).withColumn("__before", F.col("__before") + F.col("__more")).drop("__more")
-    numbered = _matched(cut.withColumn("__inside", inside), offsets, groups[-1])
+            offsets = offsets.join(coarser, group).withColumn("__before", F.col("__before") + F.col("__more")).drop("__more")
+    numbered = cut.withColumn("__inside", inside).join(offsets, groups[-1])
     made = [name for level in levels for name in level if name not in df.columns]
-    return numbered.withColumn(out, F.col("__inside") + F.col("__before")).drop("__inside", "__before", *made)
-
-
-def _matched(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Inner join on columns of one name, NULLs equal."""
-    renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in columns})
-    same = [F.col(c).eqNullSafe(F.col(f"__right_{c}")) for c in columns]
-    return left.join(renamed, same).drop(*[f"__right_{c}" for c in columns])
+    return numbered.withColumn(out, F.col("__inside") + F.col("__before")).drop("__inside", "__before", *groups[-1][len(keys) :], *made)
 
 
 def repeat_rows(

@@ -392,6 +392,10 @@ WHERE pick = 1 AND NOT (EVENT_TYPE = 'purchase' AND PRICE <= 0)""",
 SELECT {_EVENT}, CAST(row_number() OVER (PARTITION BY USER_ID, USER_SESSION
     ORDER BY EVENT_TIME, EVENT_TYPE, PRODUCT_ID NULLS LAST, PRICE) AS INTEGER) AS ACTION_ITEMS
 FROM unique_views""",
+    "action_sequence_batches": """
+SELECT USER_SESSION, PRODUCT_ID, PRICE, CAST(row_number() OVER (PARTITION BY USER_SESSION
+    ORDER BY EVENT_TIME, PRODUCT_ID NULLS LAST, PRICE) AS INTEGER) AS ACTION_ITEMS
+FROM (SELECT USER_ID || '-' || EVENT_TYPE AS USER_SESSION, EVENT_TIME, PRODUCT_ID, PRICE FROM log)""",
     "purchase_filter": """
 SELECT EVENT_TYPE, count(*) AS N, min(PRICE) AS LOWEST_PRICE
 FROM log WHERE NOT (EVENT_TYPE = 'purchase' AND PRICE <= 0) GROUP BY EVENT_TYPE""",
@@ -496,6 +500,13 @@ SELECT {_time("date_trunc('day', last)", 'DATE_KEY')}, USER_SESSION,
   round((floor(epoch(last)) - floor(epoch(first))) / 60 + 1e-7, 4) AS USER_SESSION_DURATION, {_parts('last')}
 FROM (SELECT USER_ID || '-' || EVENT_TYPE AS USER_SESSION, max(EVENT_TIME) AS last, min(EVENT_TIME) AS first
       FROM log GROUP BY USER_ID, EVENT_TYPE)""",
+    "upsert_moving_partitions": """
+SELECT USER_ID, count(*) AS N, CASE USER_ID::BIGINT % 4 WHEN 1 THEN 'y' WHEN 2 THEN 'x:1' ELSE 'a/b 100%' END AS "LABEL"
+FROM log WHERE BATCHNUMBER = 2 AND USER_ID::BIGINT % 4 < 3 GROUP BY USER_ID
+UNION ALL
+SELECT USER_ID, count(*), CASE USER_ID::BIGINT % 4 WHEN 1 THEN 'x:1' WHEN 2 THEN 'a/b 100%' WHEN 3 THEN 'c=d' END
+FROM log WHERE BATCHNUMBER = 1
+  AND USER_ID NOT IN (SELECT USER_ID FROM log WHERE BATCHNUMBER = 2 AND USER_ID::BIGINT % 4 < 3) GROUP BY USER_ID""",
     "upsert_fact_partitions": f"""
 SELECT {_parts('EVENT_TIME')}, CASE WHEN BATCHNUMBER = 2 THEN 'Europe' ELSE 'America' END
     AS SALES_BRANCH, count(*) AS N

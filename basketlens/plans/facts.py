@@ -60,13 +60,16 @@ def dedupe_views(events: DataFrame) -> DataFrame:
     return repeat_rows(collapsed, "COPIES", "LAST", "N", keys=SESSION).drop("N").select(*_RAW)
 
 
-def action_sequence(events: DataFrame) -> DataFrame:
+def action_sequence(events: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """Number the events of each user session by time (ACTION_ITEMS), views deduplicated.
 
     Equal times are ordered by type, product and price. Every session is cut by day, second
     and moment with type and product, and numbered arithmetically from the totals of these. The
     events without their copies are stored first, since both the totals and the rows read them, and the
     numbered ones next, since single rows and blocks of copies are written out apart.
+
+    ``carried`` (``last_actions`` of the batches before) lets a session that goes on be numbered on from where it stood. Batches
+    in order of time are numbered like one; an event that is late, or a view repeated from an earlier batch, gets a new number at the end.
     """
     collapsed = stored(collapse_repeats(events), "collapsed")
     levels = [
@@ -74,13 +77,20 @@ def action_sequence(events: DataFrame) -> DataFrame:
         {"__second": F.date_trunc("second", "EVENT_TIME")},
         {"EVENT_TIME": F.col("EVENT_TIME"), "EVENT_TYPE": F.col("EVENT_TYPE"), "PRODUCT_ID": F.col("PRODUCT_ID")},
     ]
-    numbered = running_total(collapsed, SESSION, ["PRICE"], "COPIES", "LAST", levels=levels)
+    numbered = running_total(collapsed, SESSION, ["PRICE"], "COPIES", "LAST", levels=levels, starts=carried)
     numbered = stored(numbered, "numbered")
     return repeat_rows(numbered, "COPIES", "LAST", "ACTION_ITEMS", keys=SESSION).select(
         *_RAW, F.col("ACTION_ITEMS").cast("int").alias("ACTION_ITEMS")
     )
 
 
+def last_actions(numbered: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """(session, start): the last number of every session, of this batch or of those before: the state to carry on."""
+    last = numbered.select(*SESSION, F.col("ACTION_ITEMS").cast("long").alias("start"))
+    last = last if carried is None else last.unionByName(carried.select(*SESSION, "start"))
+    return last.groupBy(*SESSION).agg(F.max("start").alias("start"))
+
+
 def drop_unpaid_purchases():
     """Keeps everything but purchases at a price of zero or less, or without a price."""
     return (F.col("EVENT_TYPE") != "purchase") | (F.col("PRICE") > 0)

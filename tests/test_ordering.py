@@ -131,3 +131,40 @@ def test_purchase_filter_null_rules(spark):
     )
     kept = {tuple(r) for r in df.where(facts.drop_unpaid_purchases()).collect()}
     assert kept == {("purchase", 1.0), ("view", None), ("view", 0.0), (None, 1.0)}
+
+
+def test_running_total_shuffles_its_rows_once(spark):
+    df = spark.createDataFrame([("a", 1, 5, 1), ("a", None, 7, 1), ("b", 1, 6, 1)], "k string, at int, tie int, w long")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = running_total(df, ["k"], ["at", "tie"], "w", "n", levels=[{"_half": F.col("at") % 2}, {"_at": F.col("at")}])
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    window = next(i for i, line in enumerate(plan) if "Window [" in line and "tie#" in line)
+    assert any("SortMergeJoin" in line for line in plan[:window])
+    assert not any("Exchange" in line or "Sort [" in line for line in plan[:window])  # joined as the window left them
+    assert sorted(map(tuple, out.select("k", "tie", "n").collect())) == [("a", 5, 1), ("a", 7, 2), ("b", 6, 1)]
+
+
+def test_sums_go_on_from_their_starts(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice("abc"), rng.choice([None, *range(30)]), i, rng.randrange(1, 4)) for i in range(300)]
+    ddl = "k string, at int, tie int, w long"
+    levels = [{"_ten": F.expr("at div 10")}, {"_at": F.col("at")}]
+
+    def summed(part, starts=None):
+        table = spark.createDataFrame(part, ddl).repartition(4)
+        return running_total(table, ["k"], ["at", "tie"], "w", "n", levels=levels, starts=starts)
+
+    whole = {r.tie: r.n for r in summed(rows).collect()}
+    late = lambda r: r[1] is None or r[1] >= 15
+    first = summed([r for r in rows if not late(r)])
+    starts = first.groupBy("k").agg(F.max("n").alias("start")).where("k <> 'c'")
+    second = summed([r for r in rows if late(r)], starts)
+    lost = max(r.n for r in first.where("k = 'c'").collect())
+    for r in first.union(second).collect():
+        assert r.n == whole[r.tie] - (lost if r.k == "c" and (r.at is None or r.at >= 15) else 0)

@@ -121,6 +121,42 @@ def test_moving_upsert_leaves_no_older_row_behind(spark, tmp_path):
     assert not (tmp_path / "t" / "d=1").exists() and [f.name for f in tmp_path.iterdir()] == ["t"]
 
 
+ODD_FOLDERS = [None, "x:1", "a/b", "c d", "50%", "e=f", "plain"]
+
+
+@pytest.mark.parametrize("label", [*ODD_FOLDERS, ""])
+def test_moving_upsert_empties_any_folder(spark, tmp_path, label):
+    path, ddl = str(tmp_path / "t"), "k string, n int, d string"
+    writers.overwrite_path(spark.createDataFrame([("a", 1, label), ("b", 1, "stays")], ddl), path, ["d"])
+    merge.upsert_moving(spark, path, spark.createDataFrame([("a", 2, "y")], ddl), ["k"], ["d"])
+    assert rows(spark.read.schema(ddl).parquet(path)) == [("a", 2, "y"), ("b", 1, "stays")]
+    assert {f.name for f in (tmp_path / "t").iterdir() if f.is_dir()} == {"d=y", "d=stays"}
+    back = spark.createDataFrame([("a", 3, label), ("c", 3, "")], ddl)  # an empty string lies with NULL
+    merge.upsert_moving(spark, path, back, ["k"], ["d"])
+    assert rows(spark.read.schema(ddl).parquet(path)) == [("a", 3, label or None), ("b", 1, "stays"), ("c", 3, None)]
+
+
+def test_moving_upsert_that_stopped_is_finished_by_repeating_it(spark, tmp_path, monkeypatch):
+    path, ddl = str(tmp_path / "t"), "k string, n int, d string"
+    writers.overwrite_path(spark.createDataFrame([("a", 1, None), ("b", 1, "x:1"), ("c", 1, "z")], ddl), path, ["d"])
+    source = spark.createDataFrame([("a", 2, "z"), ("b", 2, "z")], ddl)
+    remove, calls = merge.remove_path, []
+
+    def stops(spark, folder):
+        if folder.startswith(path + "/"):
+            calls.append(folder)
+            raise RuntimeError("stopped")
+        remove(spark, folder)
+
+    monkeypatch.setattr(merge, "remove_path", stops)
+    with pytest.raises(RuntimeError, match="stopped"):
+        merge.upsert_moving(spark, path, source, ["k"], ["d"])
+    assert len(calls) == 1
+    monkeypatch.setattr(merge, "remove_path", remove)
+    merge.upsert_moving(spark, path, source, ["k"], ["d"])
+    assert rows(spark.read.schema(ddl).parquet(path)) == [("a", 2, "z"), ("b", 2, "z"), ("c", 1, "z")]
+
+
 def test_rewrite_moves_rows_between_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     writers.overwrite_path(spark.createDataFrame([(1, 1), (2, 1)], "id int, d int"), path, ["d"])
