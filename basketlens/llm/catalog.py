@@ -57,25 +57,26 @@ base AS (
     len(w) < 20 OR 100 * coalesce(covered.n, 0) > 30 * len(w) AS base_failed
   FROM d LEFT JOIN dups USING (doc_id) LEFT JOIN covered USING (doc_id)),
 sized AS (
-  SELECT doc_id, lang, text, length(t) AS n, length(regexp_replace(t, '[^\p{Ll}]', '', 'g')) AS c0,
+  SELECT doc_id, lang, text, base_failed, length(t) AS n, length(regexp_replace(t, '[^\p{Ll}]', '', 'g')) AS c0,
     length(regexp_replace(t, '[^\p{Lu}\p{Lt}]', '', 'g')) AS c1, length(regexp_replace(t, '[^\p{Lm}\p{Lo}\p{M}]', '', 'g')) AS c2,
     length(regexp_replace(t, '[^\p{N}]', '', 'g')) AS c3,
     length(regexp_replace(regexp_replace(t, '[#*$%&|<>@+=~^`\/_]', '', 'g'), '[^\p{P}]', '', 'g')) AS c4,
     length(regexp_replace(t, '[^\p{S}#*$%&|<>@+=~^`\/_]', '', 'g')) AS c5,
     length(regexp_replace(t, '[^\p{Z}\x09-\x0D]', '', 'g')) AS c6 FROM base),
-classes AS (SELECT doc_id, lang, text, n, unnest([c0, c1, c2, c3, c4, c5, c6, n - c0 - c1 - c2 - c3 - c4 - c5 - c6]) AS c,
+classes AS (SELECT doc_id, lang, text, base_failed, n, unnest([c0, c1, c2, c3, c4, c5, c6, n - c0 - c1 - c2 - c3 - c4 - c5 - c6]) AS c,
   unnest(range(8)) AS k FROM sized),
 class_refs AS (
   SELECT lang, k, sum(c) / (sum(sum(c)) OVER (PARTITION BY lang)) AS q FROM classes
-  WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang, k),
+  WHERE lang IS NOT NULL AND NOT base_failed GROUP BY lang, k),
 lowered AS (
   SELECT doc_id, lang, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word
   FROM words JOIN d USING (doc_id)),
 ranked AS (
   SELECT lang, word, count(*) AS n, sum(count(*)) OVER (PARTITION BY lang) AS total,
-    row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place FROM lowered WHERE lang IS NOT NULL GROUP BY lang, word),
-common AS (SELECT lang, word, n / total AS q FROM ranked WHERE place <= 100 AND total >= 2000),
-langs AS (SELECT lang, sum(q) AS q, greatest(0, 1 - sum(q)) AS rest FROM common GROUP BY lang),
+    row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place
+  FROM lowered JOIN (SELECT doc_id FROM base WHERE NOT base_failed) USING (doc_id) WHERE lang IS NOT NULL GROUP BY lang, word),
+common AS (SELECT lang, word, total, n / total AS q FROM ranked WHERE place <= 100),
+langs AS (SELECT lang, sum(q) AS q, greatest(0, 1 - sum(q)) AS rest, any_value(total) AS total FROM common GROUP BY lang),
 by_class AS (
   SELECT doc_id, r.lang, any_value(n) AS n, sqrt(greatest(0, sum(CASE WHEN c > 0 THEN c / n * log2(c / n / ((c / n + q) / 2)) ELSE 0 END
     + CASE WHEN q > 0 THEN q * log2(q / ((c / n + q) / 2)) ELSE 0 END) / 2)) AS far
@@ -85,15 +86,16 @@ hits AS (
   SELECT doc_id, m.lang, sum(c) AS c, sum(q) AS q, sum(p * log2(p / ((p + q) / 2)) + q * log2(q / ((p + q) / 2))) AS s
   FROM (SELECT doc_id, word, c, c / n_words AS p FROM counts JOIN base USING (doc_id)) JOIN common m USING (word) GROUP BY doc_id, m.lang),
 by_word AS (
-  SELECT doc_id, lang, n_words, sqrt(greatest(0, (s + absent
+  SELECT doc_id, lang, n_words, total, sqrt(greatest(0, (s + absent
     + CASE WHEN other > 0 THEN other * log2(other / ((other + rest) / 2)) ELSE 0 END
     + CASE WHEN rest > 0 THEN rest * log2(rest / ((other + rest) / 2)) ELSE 0 END) / 2)) AS far
-  FROM (SELECT b.doc_id, l.lang, b.n_words, l.rest, coalesce(h.s, 0) AS s, l.q - coalesce(h.q, 0) AS absent,
+  FROM (SELECT b.doc_id, l.lang, b.n_words, l.total, l.rest, coalesce(h.s, 0) AS s, l.q - coalesce(h.q, 0) AS absent,
           1 - coalesce(h.c, 0) / b.n_words AS other
         FROM base b CROSS JOIN langs l LEFT JOIN hits h ON h.doc_id = b.doc_id AND h.lang = l.lang WHERE b.n_words > 0)),
 fits AS (
-  SELECT doc_id, bool_or((c.n < 200 OR c.far <= 0.33) AND (w.n_words < 50 OR w.far <= 0.24 + 2.2 / sqrt(w.n_words))) AS good
-  FROM by_word w JOIN by_class c USING (doc_id, lang) GROUP BY doc_id)
+  SELECT doc_id, bool_or((c.n < 200 OR c.far <= 0.33) AND (w.n_words < 50
+    OR w.far <= 0.24 + 2.2 * (1 / sqrt(w.n_words) + CASE WHEN lang = own.lang THEN 1 / sqrt(w.total) ELSE 0 END))) AS good
+  FROM by_word w JOIN by_class c USING (doc_id, lang) JOIN (SELECT doc_id, lang FROM d) own USING (doc_id) GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce(good, true) AS kept
 FROM base LEFT JOIN fits USING (doc_id)
@@ -203,7 +205,7 @@ ranked AS (
   SELECT doc_id, size, a.source_size, a.target,
     CASE WHEN a.source_size > 0 THEN a.target / a.source_size ELSE 0.0::DOUBLE END AS rate,
     ('0x' || substr(md5('mix' || coalesce('=' || s.source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS start,
-    row_number() OVER (PARTITION BY s.source ORDER BY size, coalesce((doc_id % 4096 + 4096) % 4096, -1),
+    row_number() OVER (PARTITION BY s.source ORDER BY size, coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 4096, -1),
                        doc_id NULLS FIRST)::DOUBLE AS place
   FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source)
 SELECT doc_id, size, source_size, target,

@@ -4,8 +4,8 @@ A page is read into a tree. Every block of text gives points for its length and
 the share of its text that stands in links; its parent gets all of them, the
 grandparent half, elements farther up a third, a quarter and so on. The element with the
 most points is the container; inside an article or main element that is the whole of
-it. Of its siblings those are kept that have a good part of its points, or that are headings, or paragraphs, lists
-and tables of real text. Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+it. Of its siblings headings are kept, and whatever its points every paragraph, list, table, section and division
+that does not consist of links; beside an article or main element a section or division needs a good part of its points. Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments are left out by element, role and class before anything is scored.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are
@@ -267,7 +267,7 @@ def main_text(page: str) -> str:
     best = container(root, found)
     kept = {id(best)}
     if best.parent is not None and best.tag not in ("body", "html"):
-        least = max(1.0, KEPT_SIBLING * best.points)
+        least = max(1.0, KEPT_SIBLING * best.points) if best.tag in ("article", "main") else 0.0
         for sibling in best.parent.children:
             density = sibling.linked / sibling.words if sibling.words else 0
             prose = sibling.tag in _HEADING or sibling.tag in _PROSE and density < SIBLING_LINKS

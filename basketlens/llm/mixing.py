@@ -92,7 +92,8 @@ def with_copies(
         rate.alias("_rate"),
         offset(seed).alias("_offset"),
     )
-    bucket = F.coalesce(F.pmod("doc_id", F.lit(buckets)), F.lit(-1)).alias("_bucket")
+    digest = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    bucket = F.coalesce(F.pmod(digest, F.lit(buckets)), F.lit(-1)).alias("_bucket")
     groups = ["_key", "size", "_bucket"]
     by_bucket = docs.select(key, "size", bucket).groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
     by_bucket = stored(by_bucket, "buckets")
@@ -110,12 +111,12 @@ def with_copies(
     starts = bucket_start.join(size_start, ["_key", "size"])
     starts = stored(starts.select(*groups, (F.col("_before_size") + F.col("_before_bucket")).alias("_before")), "starts")
     place = F.row_number().over(W.partitionBy(*groups).orderBy("doc_id"))
-    kept = docs.drop(*[c for c in ADDED if c != "size"])
-    ranked = kept.select("*", key, bucket).withColumn("_place", place).join(starts, groups).join(aims, "_key")
+    own = [c for c in docs.columns if c not in ADDED]  # as one struct, so that no name of theirs meets one of these
+    ranked = docs.select("doc_id", "size", F.struct(*own).alias("_own"), key, bucket).withColumn("_place", place).join(starts, groups).join(aims, "_key")
     rank = F.col("_before") + F.col("_place")
     passed = F.floor(rank * F.col("_rate") + F.col("_offset")) - F.floor((rank - 1) * F.col("_rate") + F.col("_offset"))
     return ranked.select(
-        *[c for c in docs.columns if c not in ADDED],
+        "_own.*",
         "size",
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),

@@ -4,14 +4,13 @@ Two histograms of a document are compared with those of its language over the wh
 characters by class, and words by the language's most common words, all others being one
 bin. The Jensen-Shannon distance (square root of the divergence in bits, so 0 to 1) must stay
 within a limit for each; the limit for words is wider for the chance deviations of a small
-histogram. A document too short for a histogram to mean anything is not judged by it.
+histogram, the document's and, where a document is compared with its own language, that of the language's words
+in the table. There is no least size of a language: a small one has a reference with a wider limit. A document too short for a histogram to mean anything is not judged by it.
 
-The language's histograms are sums over all documents with that ``lang``; the document's own
+The language's histograms are sums over all documents with that ``lang`` that pass the base rules; the document's own
 language is tried first, the others only if that one rejects it, so a wrong or missing
 ``lang`` does not cost a clean document. Word counts are summed inside each task before the
-shuffle; what reaches the driver is ``common_words`` rows and a row of classes per language, and
-languages with fewer than ``min_language_words`` words give no reference. A document whose ``lang`` gives none
-is not judged by histograms: those of other languages say nothing about it.
+shuffle; what reaches the driver is ``common_words`` rows and a row of classes per language.
 
 Base rules come first: at least ``min_words`` words, and at most ``max_repeat_percent`` per
 cent of them inside an eight-word window that occurs twice.
@@ -57,7 +56,6 @@ class Rules:
     min_histogram_words: int = 50
     max_word_distance: float = 0.24
     word_distance_noise: float = 2.2  # a histogram of n words may be off by this over sqrt(n)
-    min_language_words: int = 2000
 
 
 def class_table() -> np.ndarray:
@@ -138,8 +136,13 @@ def distance(counts: np.ndarray, reference: np.ndarray) -> float:
     return math.sqrt(max(0.0, float(parts.sum()) / 2))
 
 
-def language_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
-    """(lang, kind, item, n): characters by class and lower-case words of every language."""
+def fails(n_words: int, n_repeat_words: int, rules: Rules) -> bool:
+    """The base rules."""
+    return n_words < rules.min_words or 100 * n_repeat_words > rules.max_repeat_percent * n_words
+
+
+def language_counts(docs: DataFrame, rules: Rules, flush: int = 200_000) -> DataFrame:
+    """(lang, kind, item, n): characters by class and lower-case words of every language's documents that pass the base rules."""
     schema = to_arrow_schema(StructType.fromDDL("lang string, kind int, item binary, n long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +159,11 @@ def language_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
                 lang, text = lang.as_py(), text.as_py()
-                words.setdefault(lang, Counter()).update(text.encode().lower().split())
+                data = text.encode()
+                found = data.split()
+                if fails(len(found), repeated_words(found), rules):
+                    continue
+                words.setdefault(lang, Counter()).update(data.lower().split())
                 counts = class_counts(text)
                 classes[lang] = classes[lang] + counts if lang in classes else counts
                 if sum(map(len, words.values())) > flush:
@@ -168,9 +175,9 @@ def language_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
     return parts.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
 
 
-def references(docs: DataFrame, rules: Rules) -> dict[str, tuple[np.ndarray, list[bytes], np.ndarray]]:
-    """By language: shares of the character classes, its common words, their shares and the rest's."""
-    counts = language_counts(docs)
+def references(docs: DataFrame, rules: Rules) -> dict[str, tuple[np.ndarray, list[bytes], np.ndarray, int]]:
+    """By language: shares of the character classes, its common words, their shares and the rest's, all its words."""
+    counts = language_counts(docs, rules)
     per_kind = W.partitionBy("lang", "kind")
     top = (
         counts.withColumn("place", F.row_number().over(per_kind.orderBy(F.desc("n"), F.asc("item"))))
@@ -183,7 +190,7 @@ def references(docs: DataFrame, rules: Rules) -> dict[str, tuple[np.ndarray, lis
     for lang in sorted({r.lang for r in rows}):
         own = [r for r in rows if r.lang == lang]
         total = {r.kind: r.n for r in own if r.item is None}
-        if total.get(1, 0) < rules.min_language_words:
+        if not total.get(1):
             continue
         classes = np.zeros(CLASSES)
         for r in own:
@@ -191,7 +198,7 @@ def references(docs: DataFrame, rules: Rules) -> dict[str, tuple[np.ndarray, lis
                 classes[int(bytes(r.item))] = r.n / total[0]
         common = sorted((-r.n, bytes(r.item)) for r in own if r.kind == 1 and r.item is not None)[: rules.common_words]
         shares = np.array([-n for n, _ in common]) / total[1]
-        found[lang] = (classes, [w for _, w in common], np.append(shares, max(0.0, 1 - shares.sum())))
+        found[lang] = (classes, [w for _, w in common], np.append(shares, max(0.0, 1 - shares.sum())), total[1])
     return found
 
 
@@ -199,7 +206,7 @@ def judge(found: dict, rules: Rules) -> Callable[[str | None, str | None], list]
     """The row function: text and language to features and verdict."""
 
     def distances(lang: str, classes: np.ndarray, words: Counter, n: int) -> tuple[float | None, float | None]:
-        shape, common, shares = found[lang]
+        shape, common, shares, _ = found[lang]
         by_class = distance(classes, shape) if classes.sum() >= rules.min_class_chars else None
         by_word = None
         if n >= rules.min_histogram_words:
@@ -213,15 +220,16 @@ def judge(found: dict, rules: Rules) -> Callable[[str | None, str | None], list]
         data = text.encode()
         words = data.split()
         features = base_features(text, data, words)
-        failed = len(words) < rules.min_words or 100 * features[4] > rules.max_repeat_percent * len(words)
+        failed = fails(len(words), features[4], rules)
         best: tuple = (None, None)
         fits = True
-        if not failed and found and (lang is None or lang in found):
+        if not failed and found:
             classes, counts = class_counts(text), Counter(data.lower().split())
-            word_limit = rules.max_word_distance + rules.word_distance_noise / math.sqrt(len(words))
             fits = False
             for reference in sorted(found, key=lambda x: (x != lang, x)):
                 pair = distances(reference, classes, counts, len(words))
+                noise = 1 / math.sqrt(len(words)) + (1 / math.sqrt(found[reference][3]) if reference == lang else 0)
+                word_limit = rules.max_word_distance + rules.word_distance_noise * noise
                 if best == (None, None) or sum(x or 0 for x in pair) < sum(x or 0 for x in best):
                     best = pair
                 if (pair[0] or 0) <= rules.max_class_distance and (pair[1] or 0) <= word_limit:

@@ -1,6 +1,7 @@
 """Near-duplicates, components, embeddings, mixing, pages, conversations and the pipeline."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -225,6 +226,14 @@ def test_mixing_odd_tables(spark):
     assert mix.columns == df.columns and {(r.target, r.copies) for r in mix.collect()} == {("x", "y")}
 
 
+def test_mixing_keeps_columns_of_its_own_names(spark):
+    names = ["_key", "_bucket", "_place", "_source_size", "_target", "_rate", "_offset", "_before", "_own", "_row", "_copy", "n"]
+    df = documents(spark, [(4096 * i, "word " * (i % 3)) for i in range(20)]).selectExpr("*", *[f"'{c}' as {c}" for c in names])
+    got = mixing.with_copies(df).collect()
+    assert len(got) == 20 and all(r[c] == c for r in got for c in names)
+    assert mixing.mixed(df).columns == df.columns and all(r[c] == c for r in mixing.mixed(df).collect() for c in names)
+
+
 # op5
 
 joined = lambda parts, n: st.lists(st.sampled_from(parts), max_size=n).map("".join)
@@ -259,6 +268,18 @@ def test_small_pages(page, text):
     assert html.main_text(page) == text
 
 
+def test_uneven_sections_are_kept_whole():
+    long = "<section>" + "".join(f"<p>Paragraph {i}, which is long enough, says something, and ends here.</p>" for i in range(12)) + "</section>"
+    last, short = "<section><p>So it ends.</p></section>", "<section><p>" + "word " * 40 + "</p></section>"
+    menu = '<div><a href="/a">One</a> <a href="/b">Two</a></div>'
+    for before, after in (("", last), (short, last), (last, "<div><p>A closing remark.</p></div>")):
+        text = html.main_text(f"<body>{menu}{before}{long}{after}{menu}</body>")
+        for part in (before, after):
+            assert " ".join(re.sub("<[^>]*>", "", part).split()) in text
+        assert "Two" not in text and text.count("Paragraph") == 12
+    assert html.main_text(f"<article>{long}</article><div><p>Offer.</p></div>").count("Offer") == 0
+
+
 @given(joined(["<p>", "</p>", "<div>", "</div>", "<b", ">", "<li>", "<!--", "-->", "<script>", "</script>", "x", " ", "&amp;", '"', "<table><tr><td>", "<nav>", "</nav>"], 40))
 @settings(max_examples=300, deadline=None)
 def test_any_markup_is_read(page):

@@ -80,6 +80,17 @@ def test_quality_keeps_clean_documents_of_a_rare_language(spark):
     assert got[200] == (True, False) and got[201] == got[202] == (False, False)
 
 
+def test_quality_has_no_least_size_of_a_language(spark):
+    draw = random.Random(7)
+    words = {lang: [f"{lang}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(150)] for lang in "abc"}
+    text = lambda lang, n: " ".join(draw.choices(words[lang], k=n))
+    rows = [(i, text("a", 300), "a") for i in range(30)] + [(100 + i, text("b", 60), "b") for i in range(4)]
+    rows += [(200, text("c", 400), None), (201, text("c", 60), None), (202, text("c", 400), "a")]
+    got = {r.doc_id: r.kept for r in quality.assessed(documents(spark, rows)).collect()}
+    assert all(got[i] for i in [*range(30), *range(100, 104)])
+    assert not got[200] and not got[202]  # a small language's wider limit holds for its own documents only
+
+
 def test_distance_is_between_zero_and_one():
     p = np.array([0.5, 0.5, 0])
     assert quality.distance(np.array([5, 5, 0]), p) == 0
