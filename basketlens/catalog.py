@@ -7,6 +7,7 @@ become text, and run-time stamps and hash keys are left out where SQL cannot kno
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql.types import DateType, DecimalType, DoubleType, TimestampType
 from basketlens.functions.columns import parse_day_first, parse_year_first_micros
 from basketlens.operators import ledger as lg
 from basketlens.operators import merge, quality
+from basketlens.operators.boosting import Boosting
 from basketlens.operators.ordering import keep_latest, latest_batch
 from basketlens.plans import dimensions, facts, forecast, history, rfm, weekly
 from basketlens.schemas import DQ_DDL, create_table_sql
@@ -608,6 +610,42 @@ def forecast_rmse_fixed(spark, sf_dir):
     )
 
 
+def _first_splits(name: str, search: forecast.Search, **split) -> Query:
+    """The first split of the 20 drawn settings on all folds, from all training rows and features."""
+
+    def build(spark, sf_dir):
+        rows = weekly.time_split(weekly.feature_matrix(_weeks(spark, sf_dir)), **split)
+        train = rows.where("SPLIT = 'train'")
+        expanding = name == "GB"
+        boosting = Boosting(forecast.dealt(train, search, expanding=expanding), weekly.FEATURES, forecast.LABEL, bins=16)
+        settings = [replace(s, rows=1.0, columns=1.0) for s in forecast.grown_settings(name, search)]
+        found = boosting.first_splits(settings, range(search.folds), expanding=expanding).where("best is not null")
+        best, cuts = F.col("best"), F.array(*[F.array(*map(F.lit, c)).cast("array<double>") for c in boosting.cuts])
+        penalty = F.array(*[F.lit(s.penalty) for s in settings])[F.col("DRAW")]
+        value = lambda g, n: -(best[g] / float(1 << 20)) / (best[n] + penalty)
+        return comparable(
+            found.withColumns({"DRAW": (F.col("fit") / search.folds).cast("int"), "FOLD": F.col("fit") % search.folds}).select(
+                "DRAW",
+                "FOLD",
+                F.get(F.array(*map(F.lit, weekly.FEATURES)), -best.feature).alias("FEATURE"),
+                F.get(F.get(cuts, -best.feature), -best.bin - 1).alias("THRESHOLD"),
+                best.missing_left.alias("MISSING_LEFT"),
+                best.gain.alias("GAIN"),
+                best.nl.alias("LEFT_ROWS"),
+                best.nr.alias("RIGHT_ROWS"),
+                value("gl", "nl").alias("LEFT_VALUE"),
+                value("gr", "nr").alias("RIGHT_VALUE"),
+            )
+        )
+
+    build.__name__ = f"first_splits_{name.lower()}"
+    return build
+
+
+query(_first_splits("XG", forecast.Search()))
+query(_first_splits("GB", forecast.Search(folds=3), last_n=4))  # the tables hold few weeks
+
+
 @query
 def rmse_of_previous_week(spark, sf_dir):
     """The error measure on a forecast SQL can also make: last week's sales."""

@@ -21,13 +21,13 @@ def approx_quantiles(
     )
 
 
-def exact_quantiles(
+def quantile_rows(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     bracket: float = 1e-3,
 ) -> DataFrame:
-    """One row, one array per column: the smallest value covering each share of the rows.
+    """(name, i, value): for each column and probability the smallest value covering that share of its rows.
 
     A mergeable sketch first gives, per column and probability, a value range that must
     contain the answer. A second pass counts what lies below the range and how often each
@@ -47,23 +47,18 @@ def exact_quantiles(
         ]
     )
     # One row per column and probability: a size fixed by the arguments, so broadcast it.
-    ranges = sketch.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("name"),
-                        F.lit(i).alias("i"),
-                        F.get(F.col(c)["ends"], F.lit(2 * i)).alias("low"),
-                        F.get(F.col(c)["ends"], F.lit(2 * i + 1)).alias("high"),
-                        F.ceil(F.lit(p) * F.col(c)["n"]).alias("rank"),
-                    )
-                    for c in columns
-                    for i, p in enumerate(probabilities)
-                ]
-            )
-        ).alias("range")
-    ).select("range.*")
+    named = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c)["ends"].alias("ends"), F.col(c)["n"].alias("n")) for c in columns])
+    ranges = (
+        sketch.select(F.explode(named).alias("column"))
+        .select("column.*", F.posexplode(F.array(*map(F.lit, probabilities))).alias("i", "p"))
+        .select(
+            "name",
+            "i",
+            F.get("ends", 2 * F.col("i")).alias("low"),
+            F.get("ends", 2 * F.col("i") + 1).alias("high"),
+            F.ceil(F.col("p") * F.col("n")).alias("rank"),
+        )
+    )
     values = df.select(
         F.explode(
             F.array(
@@ -81,13 +76,22 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     upto = Window.partitionBy("name", "i").orderBy(F.col("value").asc_nulls_first())
-    found = (
+    return (
         counted.withColumn("covered", F.sum("n").over(upto))
         .where("value is not null and covered >= rank")
         .groupBy("name", "i")
         .agg(F.min("value").alias("value"))
     )
-    return found.agg(
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    bracket: float = 1e-3,
+) -> DataFrame:
+    """One row, one array per column: the values of ``quantile_rows``."""
+    return quantile_rows(df, columns, probabilities, bracket).agg(
         *[
             F.array(
                 *[

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from basketlens.plans import forecast
+
 # --- views over the test tables ----------------------------------------------------------
 
 _VIEWS = {
@@ -357,6 +359,57 @@ SELECT PRODUCT_ID, round(slope + 1e-7, 4) AS ELASTICITY, round(r2 + 1e-7, 4) AS
   round({_p_value('(slope / se)', f'(n - {lost})')} + 1e-7, 4) AS COEFFICIENT_PVALUE FROM {fit}"""
 
 
+def _first_splits(name: str, train: str, fold: str, folds: int, holdout: str, learns: str) -> str:
+    """The best first split of every drawn setting and fold, by trying all of them."""
+    settings = ", ".join(
+        f"({i}, {s.penalty}::DOUBLE, {s.least_gain}::DOUBLE, {s.child_rows}, {s.split_rows})"
+        for i, s in enumerate(forecast.grown_settings(name))
+    )
+    names = [f"{stem}_PREV_{n}W" for _, stem, _ in _KINDS.values() for n in (1, 2, 4)]
+    names += [f"{s}_{r}_RATIO" for _, _, s in _KINDS.values() for r in ("1W2W", "2W2W", "1W4W")]
+    listed = ", ".join(f"{n}::DOUBLE" for n in names)
+    part = "{0} / 1048576.0::DOUBLE * ({0} / 1048576.0::DOUBLE) / ({1} + penalty)".format
+    return f"""
+SELECT * FROM (
+WITH train AS (SELECT *, {fold} AS fold FROM ({train}) WHERE NOT ({holdout})),
+bases AS (SELECT k, sum(round(y * 1048576)) / 1048576.0::DOUBLE / count(*) AS base
+  FROM (SELECT fold, SALES_OCCURRENCE AS y FROM train) JOIN range({folds}) r(k) ON {learns} GROUP BY k),
+cells AS (SELECT fold, SALES_OCCURRENCE AS y, unnest([{listed}]) AS x, unnest(range({len(names)})) AS j FROM train),
+bounds AS (SELECT j, list_sort(list_distinct(quantile_disc(x, {[i / 16 for i in range(1, 16)]}))) AS c FROM cells GROUP BY j)
+SELECT DRAW::INTEGER AS DRAW, FOLD::INTEGER AS FOLD, {names}[j + 1] AS FEATURE,
+  round(CASE WHEN b > 0 THEN c[b] END + 1e-7, 4) AS THRESHOLD,
+  missing_left AS MISSING_LEFT, round(gain + 1e-7, 4) AS GAIN, nl::BIGINT AS LEFT_ROWS, nr::BIGINT AS RIGHT_ROWS,
+  round(-(gl / 1048576.0::DOUBLE) / (nl + penalty) + 1e-7, 4) AS LEFT_VALUE,
+  round(-(gr / 1048576.0::DOUBLE) / (nr + penalty) + 1e-7, 4) AS RIGHT_VALUE
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY DRAW, FOLD ORDER BY gain DESC, j, b, missing_left DESC) AS pick
+  FROM (
+    SELECT *, 0.5::DOUBLE * ({part("gl", "nl")} + {part("gr", "nr")} - {part("gt", "nt")}) - least AS gain
+    FROM (
+      SELECT *, gt - gl AS gr, nt - nl AS nr FROM (
+        SELECT FOLD, j, b, missing_left, gt, nt, CASE WHEN missing_left THEN gu ELSE gu - gm END AS gl,
+          CASE WHEN missing_left THEN nu ELSE nu - nm END AS nl
+        FROM (
+          SELECT FOLD, j, b, sum(g) OVER upto AS gu, sum(n) OVER upto AS nu, sum(g) OVER here AS gt, sum(n) OVER here AS nt,
+            coalesce(sum(g) FILTER (b = 0) OVER here, 0) AS gm, coalesce(sum(n) FILTER (b = 0) OVER here, 0) AS nm
+          FROM (
+            SELECT k AS FOLD, j, b, sum(round((base - y) * 1048576))::DOUBLE AS g, count(*) AS n
+            FROM (SELECT cells.*, CASE WHEN x IS NULL THEN 0 ELSE 1 + len(list_filter(c, lambda v: v < x)) END AS b
+                  FROM cells JOIN bounds USING (j)) JOIN bases ON {learns}
+            GROUP BY ALL)
+          WINDOW here AS (PARTITION BY FOLD, j), upto AS (PARTITION BY FOLD, j ORDER BY b))
+        CROSS JOIN (SELECT unnest([true, false]) AS missing_left)))
+    CROSS JOIN (VALUES {settings}) s(DRAW, penalty, least, child, split)
+    WHERE nl >= greatest(child, 1) AND nr >= greatest(child, 1) AND nt >= split)
+  WHERE gain > 0) JOIN bounds USING (j)
+WHERE pick = 1)"""
+
+
+def _bits(salt: str) -> str:
+    text = f"concat_ws('|', '{salt}', PRODUCT_ID, WEEK_NUMBER_CYCLE, WEEK_NUMBER)"
+    return f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
+
+
 _BODIES = {
     "hist_behaviour_log": _HISTORY,
     "csv_roundtrip": _HISTORY,
@@ -557,6 +610,24 @@ SELECT PRODUCT_ID, WEEK_NUMBER_CYCLE, WEEK_NUMBER,
 FROM (SELECT *, dense_rank() OVER (ORDER BY WEEK_NUMBER_CYCLE DESC, WEEK_NUMBER DESC) AS age
       FROM (SELECT DISTINCT PRODUCT_ID, WEEK_NUMBER_CYCLE, WEEK_NUMBER FROM sale_weeks))
 WHERE age <= 4""",
+    "first_splits_xg": _first_splits(
+        "XG",
+        "SELECT f.* FROM features f, last_week WHERE (WEEK_NUMBER_CYCLE, WEEK_NUMBER) <> w AND WEEK_NUMBER IN (1, 2, 3, 4)",
+        f"{_bits('fold42')} % 5",
+        5,
+        f"{_bits('holdout42')} % 5 = 0",
+        "fold <> k",
+    ),
+    "first_splits_gb": _first_splits(
+        "GB",
+        """SELECT *, 5 - age AS stretch FROM (
+    SELECT *, dense_rank() OVER (ORDER BY WEEK_NUMBER_CYCLE DESC, WEEK_NUMBER DESC) AS age FROM features)
+  WHERE age BETWEEN 2 AND 5""",
+        "stretch",
+        3,
+        "false",
+        "fold <= k",
+    ),
     "rmse_of_previous_week": """
 SELECT 'LAST' AS MODEL, round(sqrt(avg(pow(SALES_OCCURRENCE - SALES_OCC_PREV_1W, 2))), 4) AS RMSE
 FROM features""",

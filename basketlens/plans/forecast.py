@@ -1,4 +1,4 @@
-"""Sales forecast: three tree ensembles tuned by random search on Spark ML."""
+"""Sales forecast: three tree ensembles tuned by random search, on Spark ML or grown together (``operators.boosting``)."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.operators.boosting import Boosting, Ensemble, Fit, Setting
 from basketlens.plans.weekly import (
     CELL,
     FEATURES,
@@ -59,6 +60,27 @@ SPACE_RF = {
 }
 SPACES = {"XG": SPACE_XG, "GB": SPACE_GB, "RF": SPACE_RF}
 
+# The spaces of the two boosted models in full, under the names of ``operators.boosting``.
+GROWN_XG = {
+    "rounds": [500, 1000, 1500, 2000],
+    "rate": [0.005, 0.01, 0.05, 0.1],
+    "depth": [3, 6, 8, 10],
+    "child_rows": [1, 3, 5],
+    "rows": [0.6, 0.8, 1.0],
+    "columns": [0.6, 0.8, 1.0],
+    "least_gain": [0.0, 0.1, 0.3],
+    "penalty": [0.0, 1.0, 10.0],
+}
+GROWN_GB = {
+    "rounds": [500, 1000, 1500, 2000],
+    "rate": [0.005, 0.01, 0.05, 0.1],
+    "depth": [3, 6, 8, 10],
+    "split_rows": [2, 5, 10],
+    "rows": [0.6, 0.8, 1.0],
+    "columns": [int(math.sqrt(len(FEATURES))) / len(FEATURES), int(math.log2(len(FEATURES))) / len(FEATURES), 1.0],
+}
+GROWN = {"XG": (GROWN_XG, {}), "GB": (GROWN_GB, {"by_node": True, "penalty": 0.0})}
+
 # One setting out of each space, for a fit without a search.
 FIXED = {
     "XG": {
@@ -101,6 +123,10 @@ def with_vectors(features: DataFrame) -> DataFrame:
 
 
 def _draws(estimator: Estimator, space: Mapping[str, Sequence], search: Search) -> list[dict]:
+    return [{estimator.getParam(k): v for k, v in s.items()} for s in _drawn(space, search)]
+
+
+def _drawn(space: Mapping[str, Sequence], search: Search) -> list[dict]:
     # Combinations are numbered, so that drawing distinct numbers draws without replacement.
     combinations = math.prod(len(values) for values in space.values())
     numbers = random.Random(search.seed).sample(
@@ -111,7 +137,7 @@ def _draws(estimator: Estimator, space: Mapping[str, Sequence], search: Search)
         settings = {}
         for name, values in space.items():
             number, choice = divmod(number, len(values))
-            settings[estimator.getParam(name)] = values[choice]
+            settings[name] = values[choice]
         drawn.append(settings)
     return drawn
 
@@ -210,6 +236,68 @@ def fit_expanding(name: str, train: DataFrame, search: Search = Search()) -> Mod
     return model.fit(train, draws[scores.index(min(scores))])
 
 
+def grown_settings(name: str, search: Search = Search()) -> list[Setting]:
+    """The drawn settings of a boosted model; ``search.spaces`` may narrow the values of a name."""
+    space, always = GROWN[name]
+    narrowed = {k: v for k, v in search.spaces.get(name, {}).items() if k in space}
+    return [Setting(**always, **s) for s in _drawn(space | narrowed, search)]
+
+
+def _hex(salt: str) -> Column:
+    """32 bits of a row's key, the same in every engine."""
+    text = F.concat_ws("|", F.lit(salt), *[F.col(c).cast("string") for c in CELL])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def stretches(train: DataFrame, folds: int) -> Column:
+    """0 for the first training weeks, then 1 to ``folds`` in time order.
+
+    The last ``folds`` stretches are equally many weeks long, the first takes the rest. Only the list of distinct weeks, which
+    the calendar bounds, is read.
+    """
+    weeks = [tuple(r) for r in train.select(*WEEK).distinct().orderBy(*WEEK).collect()]
+    if len(weeks) <= folds:
+        raise ValueError(f"{folds} folds need more than {len(weeks)} training weeks")
+    size = len(weeks) // (folds + 1)
+    found = F.lit(0)
+    for i in range(folds):
+        start = F.struct(*[F.lit(n).alias(c) for n, c in zip(weeks[len(weeks) - size * (folds - i)], WEEK)])
+        found = found + (F.struct(*WEEK) >= start).cast("int")
+    return found
+
+
+def dealt(train: DataFrame, search: Search = Search(), *, expanding: bool = False) -> DataFrame:
+    """Training rows with fold, holdout and key for ``Boosting``.
+
+    Crossed folds and the holdout, a fifth, are dealt by the row's key. An expanding search has no holdout: its
+    model knows no early stop.
+    """
+    fold = stretches(train, search.folds) if expanding else (_hex(f"fold{search.seed}") % search.folds).cast("int")
+    holdout = F.lit(False) if expanding else _hex(f"holdout{search.seed}") % 5 == 0
+    return train.withColumns({"fold": fold, "holdout": holdout, "key": _hex("key")})
+
+
+def grown_search(
+    name: str, train: DataFrame, search: Search = Search(), *, bins: int = 32, patience: int = 50
+) -> tuple[list[Fit], Callable[[], Ensemble]]:
+    """All draws on all folds, grown together, and a function that grows the best draw on all training rows.
+
+    ``train`` are log counts with missing values left missing. XG is crossed and stops by its holdout, GB goes by
+    expanding stretches; a draw's score is the mean error over its folds.
+    """
+    expanding = MODELS[name] is fit_expanding
+    boosting = Boosting(dealt(train, search, expanding=expanding), FEATURES, LABEL, bins=bins, seed=search.seed)
+    settings, folds = grown_settings(name, search), range(search.folds)
+    fits = boosting.grow(settings, folds, expanding=expanding, patience=patience)
+
+    def best() -> Ensemble:
+        scores = [sum(f.error() for f in fits if f.setting is s) for s in settings]
+        (fit,) = boosting.grow([settings[scores.index(min(scores))]], [None], patience=patience)
+        return boosting.ensemble(fit)
+
+    return fits, best
+
+
 MODELS: dict[str, Callable[[str, DataFrame, Search], Model]] = {
     "XG": fit_crossed,
     "GB": fit_expanding,
