@@ -19,7 +19,7 @@ from basketlens.operators import ledger as lg
 from basketlens.operators import merge, quality
 from basketlens.operators.boosting import Boosting
 from basketlens.operators.ordering import keep_latest, latest_batch
-from basketlens.plans import dimensions, facts, forecast, history, rfm, weekly
+from basketlens.plans import dimensions, facts, forecast, history, rfm, segments, weekly
 from basketlens.schemas import DQ_DDL, create_table_sql
 from basketlens.session import configure, make_folder, scratch_path, stored
 from basketlens.sources import readers, testdata, writers
@@ -244,9 +244,11 @@ def rfm_segments(spark, sf_dir):
 
 @query
 def rfm_quartiles(spark, sf_dir):
-    users = _users(spark, sf_dir)
-    cuts = rfm.rfm_quartiles(users)
-    return cuts.select(
+    return _cuts(rfm.rfm_quartiles(_users(spark, sf_dir)))
+
+
+def _cuts(quartiles: DataFrame) -> DataFrame:
+    return quartiles.select(
         *[
             F.round(F.get(F.col(m), F.lit(i)), 2).alias(f"{m}_Q{i + 1}")
             for m in rfm.METRICS
@@ -255,6 +257,36 @@ def rfm_quartiles(spark, sf_dir):
     )
 
 
+def _kept_segments(spark, sf_dir) -> segments.Segments:
+    """Pairs of users share sessions that span dates. The first half of the month is delivered without some rows and with
+    some that are withdrawn later, then the second half with the dates to mend, then a few dates once more."""
+    fact = testdata.events_as_fact(spark, sf_dir)
+    pair = (F.col("USER_ID").cast("long") / 2).cast("long")
+    fact = fact.withColumn("USER_SESSION", F.concat_ws("-", pair, F.dayofmonth("EVENT_DATETIME") % 8))
+    day, product = F.dayofmonth("EVENT_DATETIME"), F.col("PRODUCT_ID").cast("long")
+    early = fact.where((day <= 15) & ((product % 7 != 3) | (day < 3)))
+    other = F.concat("USER_ID", F.lit("x"))
+    wrong = fact.where((day == 9) & (product % 5 == 0)).withColumns({"USER_ID": other, "PRICE": F.col("PRICE") + 1})
+    kept = segments.Segments(spark, scratch_path(spark, "segments"), buckets=8)
+    for rows, wanted in ((early.unionByName(wrong), day <= 15), (fact, day >= 3), (fact, (day > 9) & (day < 20))):
+        kept.update(rows, rows.where(wanted).select("EVENT_DATE").distinct())
+    return kept
+
+
+@query
+def rfm_batches(spark, sf_dir):
+    """The segmentation kept up by three deliveries, as it is over all events at once."""
+    several = F.contains(F.col("USER_ID"), F.lit(" users "))
+    users = F.when(several, F.split_part("USER_ID", F.lit(" "), F.lit(1)).cast("long")).otherwise(F.lit(1))
+    result = _kept_segments(spark, sf_dir).rfm(ETL_TS).withColumn("USERS", users)
+    return comparable(result.drop("USER_ID", "USER_ID_KEY", *STAMPS))
+
+
+@query
+def rfm_quartiles_batches(spark, sf_dir):
+    return _cuts(_kept_segments(spark, sf_dir).quartiles())
+
+
 @query
 def rfm_quartiles_approx(spark, sf_dir):
     """Whether the sketch's quartiles lie within the allowed rank error of the exact ones."""

@@ -117,6 +117,12 @@ _VIEWS = {
   FROM scored""",
 }
 
+# Segmentation once more where two users share a session.
+_VIEWS["pair_fact"] = """
+  SELECT * REPLACE (USER_ID::BIGINT // 2 || '-' || day(EVENT_DATETIME) % 8 AS USER_SESSION) FROM fact"""
+for _name in ("basket", "users", "cuts", "scored", "labelled"):
+    _VIEWS[f"pair_{_name}"] = re.sub(r"\b(fact|basket|users|cuts|scored)\b", r"pair_\1", _VIEWS[_name])
+
 
 def _weeks(source: str) -> str:
     return f"""
@@ -489,6 +495,11 @@ FROM fact WHERE EVENT_TYPE = 'purchase' GROUP BY EVENT_DATE""",
 SELECT USER_ID, RECENCY, FREQUENCY, CAST(MONETARY AS DOUBLE) AS MONETARY FROM users""",
     "rfm_segments": _RFM,
     "rfm_end_to_end": _RFM,
+    "rfm_batches": _RFM.replace("USER_ID,", "len(string_split(USER_ID, ', ')) AS USERS,", 1).replace("labelled", "pair_labelled"),
+    "rfm_quartiles_batches": "SELECT " + ", ".join(
+        f"CAST({v}[{i}] AS DOUBLE) AS {n}_Q{i}"
+        for n, v in (("RECENCY", "r"), ("FREQUENCY", "f"), ("MONETARY", "m")) for i in (1, 2, 3)
+    ) + " FROM pair_cuts",
     "rfm_quartiles": "SELECT " + ", ".join(
         f"CAST({v}[{i}] AS DOUBLE) AS {n}_Q{i}"
         for n, v in (("RECENCY", "r"), ("FREQUENCY", "f"), ("MONETARY", "m")) for i in (1, 2, 3)

@@ -17,7 +17,7 @@ from basketlens import schemas
 from basketlens.operators import ledger as lg
 from basketlens.operators import merge, quality
 from basketlens.operators.ordering import latest_batch
-from basketlens.plans import dimensions, facts, forecast, history, rfm, weekly
+from basketlens.plans import dimensions, facts, forecast, history, rfm, segments, weekly
 from basketlens.session import configure, stored
 from basketlens.sources import readers, writers
 
@@ -279,6 +279,23 @@ def analyse_rfm(lake: Lake, run: Run, rel_error: float | None = None) -> bool:
     return _job(lake, run, "da_rfm", ["cur_fact_behaviour"], work)
 
 
+def update_rfm(lake: Lake, run: Run) -> bool:
+    """The same table as ``analyse_rfm``, from stored totals: of the fact only the dates of the newest batch are read."""
+
+    def work(batch: int) -> bool:
+        parts = list(writers.FACT_PARTITIONS)
+        newest = latest_batch(lake.table("history.behaviour_log")).select(*parts).distinct()
+        events = merge.touched_partitions(lake.table("curated.fact_behaviour_log"), newest, parts)
+        dates = newest.select(F.make_date(*parts).cast("string").alias("EVENT_DATE"))
+        kept = segments.Segments(lake.spark, f"{lake.root}/state/rfm")
+        kept.update(events, dates)
+        name = "curated.da_rfm_analysis"
+        lake.replace(name, merge.upsert(lake.ensure(name), kept.rfm(run.run_ts), ["USER_ID"], unique=True))
+        return True
+
+    return _job(lake, run, "da_rfm", ["cur_fact_behaviour"], work)
+
+
 def predict_sales(
     lake: Lake,
     run: Run,

@@ -22,11 +22,6 @@ def session_baskets(fact: DataFrame, *, list_buyers: bool = False) -> DataFrame:
     ``list_buyers`` names the ids themselves instead, "u1, u2" in ascending order. The rows are
     first summed per session and user.
     """
-    users, ids = F.count("USER_ID"), F.bit_xor(F.xxhash64("USER_ID"))
-    composite = F.concat(users.cast("string"), F.lit(" users "), F.lower(F.hex(ids)))
-    buyer = F.when(users > 1, composite).otherwise(F.coalesce(F.min("USER_ID"), F.lit("")))
-    if list_buyers:
-        buyer = F.concat_ws(", ", F.sort_array(F.collect_list("USER_ID")))
     per_user = (
         fact.where(F.col("EVENT_TYPE") == "purchase")
         .groupBy("USER_SESSION", "USER_ID")
@@ -36,6 +31,16 @@ def session_baskets(fact: DataFrame, *, list_buyers: bool = False) -> DataFrame:
             F.sum("PRICE").alias("SPENT_MONEY"),
         )
     )
+    return baskets_of(per_user, list_buyers=list_buyers)
+
+
+def baskets_of(per_user: DataFrame, *, list_buyers: bool = False) -> DataFrame:
+    """``session_baskets`` from one row per session and user."""
+    users, ids = F.count("USER_ID"), F.bit_xor(F.xxhash64("USER_ID"))
+    composite = F.concat(users.cast("string"), F.lit(" users "), F.lower(F.hex(ids)))
+    buyer = F.when(users > 1, composite).otherwise(F.coalesce(F.min("USER_ID"), F.lit("")))
+    if list_buyers:
+        buyer = F.concat_ws(", ", F.sort_array(F.collect_list("USER_ID")))
     return per_user.groupBy("USER_SESSION").agg(
         F.max("DATETIME_ORDER").alias("DATETIME_ORDER"),
         buyer.alias("USER_ID"),
@@ -85,7 +90,12 @@ def rfm(fact: DataFrame, etl_ts: str, rel_error: float | None = None) -> DataFra
     the fact, which is larger by orders of magnitude, is scanned only once.
     """
     users = user_values(stored(user_totals(fact), "user-totals"))
-    cuts = rfm_quartiles(users, rel_error).select(F.struct(*METRICS).alias("cuts")).scalar()
+    return segments(users, rfm_quartiles(users, rel_error), etl_ts)
+
+
+def segments(users: DataFrame, quartiles: DataFrame, etl_ts: str) -> DataFrame:
+    """Scores, segmentation and label of every user from the three values and their cuts."""
+    cuts = quartiles.select(F.struct(*METRICS).alias("cuts")).scalar()
     scored = users.withColumns(
         {
             f"{metric[0]}_QUARTILE": quartile_score(

@@ -56,6 +56,11 @@ def make_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder wherever Spark can reach it; a missing one is fine."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -34,6 +34,12 @@ def overwrite_path(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     writer.option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
+def put_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that occur in ``df``, which must not read from ``path``."""
+    writer = laid_out(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def overwrite_table(
     df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()
 ) -> None:
