@@ -18,11 +18,11 @@ from basketlens.functions.columns import parse_day_first, parse_year_first_micro
 from basketlens.operators import ledger as lg
 from basketlens.operators import merge, quality
 from basketlens.operators.boosting import Boosting
-from basketlens.operators.ordering import keep_latest, latest_batch
+from basketlens.operators.ordering import as_of, keep_latest, latest_batch
 from basketlens.plans import dimensions, facts, forecast, history, rfm, segments, weekly
-from basketlens.schemas import DQ_DDL, create_table_sql
+from basketlens.schemas import DQ_DDL, LANDED_BEHAVIOUR_DDL, create_table_sql
 from basketlens.session import configure, make_folder, scratch_path, stored
-from basketlens.sources import readers, testdata, writers
+from basketlens.sources import landing, readers, testdata, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -773,6 +773,26 @@ def ledger_success_watermark(spark, sf_dir):
     )
 
 
+@query
+def runs_with_copy(spark, sf_dir):
+    """Every run with the copy job before it."""
+    return lg.runs_with_copy(
+        testdata.ledger(spark, sf_dir), testdata.orchestrator_log(spark, sf_dir), testdata.ITEM_SOURCES
+    )
+
+
+@query
+def event_before_purchase(spark, sf_dir):
+    """Every purchase with the user's last view that is not later: the as-of match over all events."""
+    events = testdata.behaviour_events(spark, sf_dir)
+    views = events.where("EVENT_TYPE = 'view'").select(
+        "USER_ID", F.col("EVENT_TIME").alias("VIEWED_AT"), F.col("event_id").alias("VIEW_ID")
+    )
+    purchases = events.where("EVENT_TYPE = 'purchase'").select("event_id", "USER_ID", "EVENT_TIME")
+    day = lambda time: F.date_trunc("day", time)
+    return comparable(as_of(purchases, views, ["USER_ID"], "EVENT_TIME", "VIEWED_AT", ["VIEWED_AT", "VIEW_ID"], cut=day))
+
+
 @query
 def ledger_batch_summary(spark, sf_dir):
     ledger = testdata.ledger(spark, sf_dir)
@@ -807,6 +827,65 @@ def json_roundtrip(spark, sf_dir):
     return rows.groupBy("event_type", "brand").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _landed_lines(spark, sf_dir, kind: str) -> str:
+    """Landed events as text, of which every ninth line is broken: values missing, too many, or the end cut off."""
+    path = scratch_path(spark, f"lines-{kind}")
+    events = testdata.behaviour_log(spark, sf_dir)
+    landed = events.select("event_id", *[F.col(c).cast("string").alias(c.lower()) for c in events.columns[:9]])
+    names = landed.columns[1:]
+    turn = F.col("event_id") % 9
+    if kind == "json":
+        line = F.to_json(F.struct(*names))
+        broken = F.expr("substring(line, 1, length(line) - 7)")
+    else:
+        line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in names])
+        broken = F.when(F.col("event_id") % 2 == 0, F.concat("line", F.lit(",more"))).otherwise(F.substring_index("line", ",", 4))
+    lines = landed.withColumn("line", line).select(
+        (F.col("event_id") % 8).alias("file"), F.lit(1).alias("place"), F.when(turn == 4, broken).otherwise(F.col("line")).alias("value")
+    )
+    if kind == "csv":
+        head = spark.range(8).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(",".join(names)).alias("value"))
+        lines = lines.unionByName(head)
+    lines = lines.repartition("file").sortWithinPartitions("file", "place").drop("place")
+    lines.write.partitionBy("file").text(path)
+    return path
+
+
+def _malformed(kind: str) -> Query:
+    def build(spark, sf_dir):
+        path = _landed_lines(spark, sf_dir, kind)
+        good, bad = landing.split_malformed(spark, path, kind, LANDED_BEHAVIOUR_DDL, name="*.txt")
+        events = comparable(history.hist_behaviour_log(good, batch=7)).groupBy("EVENT_TYPE", "BRAND").agg(
+            F.count(F.lit(1)).alias("N"), F.sum(F.col("PRODUCT_ID").cast("long")).alias("PRODUCTS")
+        )
+        report = landing.malformed_report(bad, _LOG, **_CHECK).groupBy("errorType").agg(F.count(F.lit(1)).alias("N"))
+        return events.unionByName(
+            report.select(F.col("errorType").alias("EVENT_TYPE"), F.lit(None).cast("string").alias("BRAND"), "N", F.lit(None).cast("long").alias("PRODUCTS"))
+        )
+
+    build.__name__ = f"malformed_{kind}"
+    return build
+
+
+for _kind in ("csv", "json"):
+    query(_malformed(_kind))
+
+
+@query
+def landing_once(spark, sf_dir):
+    """Files of two deliveries, taken over by three runs: every row is there once, under the batch that brought it."""
+    path = scratch_path(spark, "stream")
+    events = testdata.behaviour_log(spark, sf_dir)
+    for batch in (1, 2, 3):
+        rows = events.where(F.col("BATCHNUMBER") == batch).drop("BATCHNUMBER", "event_id")
+        if batch < 3:  # nothing new for the third run
+            rows.select(*[F.col(c).cast("string").alias(c.lower()) for c in rows.columns]).write.json(f"{path}/in/{batch}")
+        stream = landing.new_files(spark, f"{path}/in", "json", LANDED_BEHAVIOUR_DDL, max_files=4)
+        landing.land_once(history.hist_behaviour_log(stream, batch), f"{path}/table", f"{path}/checkpoint")
+    table = spark.read.parquet(f"{path}/table")
+    return table.groupBy(*writers.HISTORY_PARTITIONS, "EVENT_TYPE").agg(F.count(F.lit(1)).alias("N"))
+
+
 @query
 def source_audit(spark, sf_dir):
     """Audit rows of a source that exists (counted while it is read) and of one that does not."""

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketlens.operators.ordering import as_of
+
 START = "Start"
 RUNNING, COMPLETE = "running", "complete"
 
@@ -125,6 +127,19 @@ def success_watermark(
     )
 
 
+def runs_with_copy(ledger: DataFrame, orchestrator: DataFrame, sources: Mapping[str, str]) -> DataFrame:
+    """Every complete run of an item with a source, and the end of the source's last complete copy job before it started
+    (NULL if there was none): what data each run has worked on, not only the last one."""
+    pairs = [F.lit(text) for pair in sources.items() for text in pair]
+    runs = ledger.where(F.col("status") == COMPLETE).withColumn(
+        "source", F.element_at(F.create_map(*pairs), F.col("item"))
+    )
+    runs = runs.where(F.col("source").isNotNull()).select("item", "batchID", "startTime", "source")
+    copies = orchestrator.where(F.col("status") == COMPLETE).select(F.col("item").alias("source"), "endTime")
+    month = lambda time: F.substring(time, 1, 7)
+    return as_of(runs, copies, ["source"], "startTime", "endTime", ["endTime"], cut=month)
+
+
 def batch_summary(log: DataFrame, batch: int | str) -> DataFrame:
     """Rows of one batch of the ledger or of the source audit, by start time."""
     return log.where(F.col("batchID") == batch).orderBy("startTime")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,3 +105,41 @@ def repeat_rows(
         F.explode(F.sequence("__from", F.least(F.col("__from") + block - 1, F.col(last)))),
     ).drop("__from")
     return plain.unionByName(heavy).drop(copies, last)
+
+
+def as_of(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_time: str,
+    right_time: str,
+    values: Sequence[str],
+    *,
+    cut: Callable[[Column], Column],
+) -> DataFrame:
+    """Every row of ``left`` with the ``values`` of the last row of ``right`` of its keys that is not later.
+
+    Both sides are put into one table and the last value is carried forward, so no row meets more than one
+    other. ``cut`` maps a time to a coarser one that never falls, such as its day: values are carried within
+    the parts of a key, and from part to part by one row each, so a key with many rows is spread over its parts.
+    Of several right rows at one time the one with the greatest values counts. Left rows without a time or
+    with none before them get NULLs; NULL keys are equal. Right rows without a time are ignored.
+    Column names of ``values`` must not occur in ``left``.
+    """
+    name = lambda c: f"__l_{c}"
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)]).alias("__key")
+    row, last = F.struct(*[F.col(c).alias(name(c)) for c in left.columns]), F.struct(F.col(right_time).alias("at"), *values)
+    lefts = left.select(key, F.col(left_time).alias("__at"), row.alias("__row"))
+    rights = right.where(F.col(right_time).isNotNull()).select(key, F.col(right_time).alias("__at"), last.alias("__last"))
+    both = lefts.unionByName(rights, allowMissingColumns=True).withColumn("__part", F.struct(cut(F.col("__at")).alias("p")))
+    # at one time the right rows come first
+    order = Window.partitionBy("__key", "__part").orderBy("__at", F.col("__row").isNotNull().cast("int"), "__last")
+    inside = F.last("__last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    parts = both.groupBy("__key", "__part").agg(F.max("__last").alias("__newest"))
+    earlier = Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("__before", F.last("__newest", ignorenulls=True).over(earlier)).drop("__newest")
+    found = both.withColumn("__inside", inside).where("__row is not null").join(parts, ["__key", "__part"])
+    match = F.when(F.col("__at").isNotNull(), F.coalesce("__inside", "__before"))
+    return found.withColumn("__match", match).select(
+        *[F.col("__row")[name(c)].alias(c) for c in left.columns], *[F.col("__match")[v].alias(v) for v in values]
+    )

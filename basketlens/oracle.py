@@ -313,6 +313,11 @@ SELECT USER_ID, RECENCY, FREQUENCY, CAST(MONETARY AS DOUBLE) AS MONETARY, R_QUAR
   M_QUARTILE, concat(R_QUARTILE, F_QUARTILE, M_QUARTILE) AS RFM_SEGMENTATION, RFM_SCORE, RFM_LABEL
 FROM labelled"""
 
+_MALFORMED = """
+SELECT EVENT_TYPE, BRAND, count(*) AS N, CAST(sum(PRODUCT_ID::BIGINT) AS BIGINT) AS PRODUCTS
+FROM log WHERE event_id % 9 <> 4 GROUP BY ALL
+UNION ALL SELECT 'Malformed row', NULL, count(*), NULL FROM log WHERE event_id % 9 = 4"""
+
 _DIM = """
 SELECT PRODUCT_ID, CATEGORY_ID, coalesce(levels[1], 'N/A') AS CATEGORY,
   coalesce(levels[2], 'N/A') AS SUBCATEGORY1, coalesce(levels[3], 'N/A') AS SUBCATEGORY2,
@@ -733,6 +738,22 @@ UNION ALL SELECT 'overwritten', count(*) FILTER (BATCHNUMBER = 2) FROM log
 UNION ALL SELECT 'quarantine', count(*) FILTER (USER_ID IS NULL) FROM dirty
 UNION ALL SELECT 'empty', 0 FROM log WHERE event_id = 0
 UNION ALL SELECT 'created', 1 FROM log WHERE event_id = 0""",
+    "malformed_csv": _MALFORMED,
+    "malformed_json": _MALFORMED,
+    "landing_once": f"""
+SELECT {_parts('EVENT_TIME')}, BATCHNUMBER, EVENT_TYPE, count(*) AS N FROM log GROUP BY ALL""",
+    "runs_with_copy": """
+SELECT r.item, r.batchID, r.startTime, r.source, c.endTime
+FROM (SELECT item, batchID, startTime, CASE WHEN item = 'cur_dim_date' THEN 'self'
+          WHEN item IN ('hist_sales_target', 'cur_fact_target') THEN 'sales_target' ELSE 'behaviour_log' END AS source
+      FROM ledger WHERE status = 'complete' AND item <> 'Start') r
+ASOF LEFT JOIN (SELECT * FROM copies WHERE status = 'complete') c ON r.source = c.item AND r.startTime >= c.endTime""",
+    "event_before_purchase": f"""
+SELECT p.event_id, p.USER_ID, {_time('p.EVENT_TIME', 'EVENT_TIME')}, {_time('v.EVENT_TIME', 'VIEWED_AT')}, v.event_id AS VIEW_ID
+FROM log p ASOF LEFT JOIN (SELECT USER_ID, EVENT_TIME, max(event_id) AS event_id FROM log
+    WHERE EVENT_TYPE = 'view' GROUP BY ALL) v
+  ON p.USER_ID = v.USER_ID AND p.EVENT_TIME >= v.EVENT_TIME
+WHERE p.EVENT_TYPE = 'purchase'""",
     "log_files": "SELECT item, count(*) AS n, max(endTime) AS endTime FROM copies GROUP BY item",
     "partitioned_append": f"""
 SELECT {_parts('EVENT_TIME')}, b.BATCHNUMBER, count(*) AS N
