@@ -19,7 +19,7 @@ from basketlens.operators import merge, quality
 from basketlens.operators.ordering import latest_batch
 from basketlens.plans import dimensions, facts, forecast, history, rfm, segments, weekly
 from basketlens.session import configure, stored
-from basketlens.sources import readers, writers
+from basketlens.sources import landing, readers, writers
 
 LEDGER, AUDIT = "tempdb.batch_ledger", "tempdb.source_audit"
 
@@ -156,6 +156,29 @@ def land_behaviour_log(lake: Lake, run: Run, path: str, kind: str = "csv", **opt
     )
 
 
+def land_checked_log(lake: Lake, run: Run, path: str, kind: str = "csv") -> bool:
+    """Like ``land_behaviour_log`` for lines of the known columns; records that do not fit them go to the bad-row table."""
+
+    def work(batch: int) -> bool:
+        table = "history.behaviour_log"
+        exists = readers.read_source(lake.spark, path, kind, schemas.LANDED_BEHAVIOUR_DDL).rows is not None
+        count = None
+        if exists:
+            good, bad = landing.split_malformed(lake.spark, path, kind, schemas.LANDED_BEHAVIOUR_DDL)
+            report = landing.malformed_report(bad, table, data_date=run.date, run_ts=run.run_ts)
+            lake.quarantine("hist_behaviour_log", batch, report)
+            writers.append_partitioned(history.hist_behaviour_log(good, batch), lake.path(table))
+            count = good.count()
+        audit = readers.audit_row(
+            lake.spark, batch=batch, date=run.date, start_time=run.run_ts, item="hist_behaviour_log",
+            file=path.rstrip("/").rsplit("/", 1)[-1], count=count,
+        )
+        audit.write.mode("append").parquet(lake.path(AUDIT))
+        return bool(count)
+
+    return _job(lake, run, "hist_behaviour_log", [], work)
+
+
 def land_sales_target(lake: Lake, run: Run, path: str, kind: str = "csv", **options) -> bool:
     return _land(
         lake, run, "hist_sales_target", "history.sales_target", path, kind,

@@ -5,7 +5,7 @@ import csv
 from pyspark.sql import functions as F
 
 from basketlens.operators import ledger as lg
-from basketlens.plans import forecast, jobs
+from basketlens.plans import forecast, jobs, rfm
 
 SOURCES = {"cur_dim_product": "behaviour_log", "cur_fact_behaviour": "behaviour_log",
            "cur_fact_target": "sales_target", "cur_dim_date": "self"}
@@ -65,6 +65,9 @@ def test_two_batches(spark, tmp_path):
     }
     assert lake.table("curated.da_rfm_analysis").count() == 6
 
+    assert jobs.update_rfm(lake, first)
+    assert lake.table("curated.da_rfm_analysis").count() == 6
+
     # Second day: one repeated date, one new; the repeated rows are replaced, not doubled.
     second = jobs.Run("20200121", "2020-01-21 00:00:00")
     jobs.close_batch(lake)
@@ -82,6 +85,10 @@ def test_two_batches(spark, tmp_path):
     assert jobs.analyse_rfm(lake, second, rel_error=0.01)
     assert lake.table("curated.da_rfm_analysis").count() == 6
 
+    assert jobs.update_rfm(lake, second)  # reads the three dates of the second batch
+    kept, anew = lake.table("curated.da_rfm_analysis"), rfm.rfm(fact, second.run_ts)
+    assert kept.exceptAll(anew.select(*kept.columns)).isEmpty() and kept.count() == 6
+
     small = {"maxIter": [2], "numTrees": [2], "maxDepth": [2]}
     spaces = {m: {k: small.get(k, v) for k, v in space.items()} for m, space in forecast.SPACES.items()}
     search = forecast.Search(draws=2, folds=2, spaces=spaces)
@@ -108,3 +115,16 @@ def test_two_batches(spark, tmp_path):
         "WHERE f.EVENT_TYPE = 'purchase' GROUP BY d.CATEGORY"
     )
     assert [tuple(r) for r in spend.collect()] == [("a", 21 * 6)]
+
+
+def test_lines_that_do_not_fit(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"))
+    write_events(tmp_path / "day", [1])
+    with open(tmp_path / "day" / "behaviour_log.csv", "a") as f:
+        f.write("2020-01-01 10:00:00 UTC,view,1\n")
+    run = jobs.Run("20200101", "2020-01-01 00:00:00")
+    assert not jobs.land_checked_log(lake, run, str(tmp_path / "missing"))
+    assert jobs.land_checked_log(lake, run, str(tmp_path / "day"))
+    assert lake.table("history.behaviour_log").count() == 24
+    bad = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "lake/quarantine"))
+    assert [r["checkFieldValue"] for r in bad.collect()] == ["2020-01-01 10:00:00 UTC,view,1"]
