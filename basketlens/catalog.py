@@ -19,7 +19,7 @@ from basketlens.operators import ledger as lg
 from basketlens.operators import merge, quality
 from basketlens.operators.boosting import Boosting
 from basketlens.operators.ordering import as_of, keep_latest, latest_batch
-from basketlens.plans import dimensions, facts, forecast, history, rfm, segments, weekly
+from basketlens.plans import day_counts, dimensions, facts, forecast, history, rfm, segments, weekly
 from basketlens.schemas import DQ_DDL, LANDED_BEHAVIOUR_DDL, create_table_sql
 from basketlens.session import configure, make_folder, scratch_path, stored
 from basketlens.sources import landing, readers, testdata, writers
@@ -594,6 +594,28 @@ def feature_matrix(spark, sf_dir):
     return comparable(weekly.feature_matrix(_weeks(spark, sf_dir)))
 
 
+def _kept_days(spark, sf_dir) -> day_counts.DayCounts:
+    """Day counts after four deliveries: rows of old weeks come late, others are withdrawn."""
+    fact = testdata.events_as_fact(spark, sf_dir)
+    day, product = F.dayofmonth("EVENT_DATETIME"), F.col("PRODUCT_ID").cast("long")
+    early = fact.where((day <= 15) & ((product % 7 != 3) | (day < 3)))
+    wrong = fact.where((day == 9) & (product % 5 == 0)).withColumn("PRICE", F.col("PRICE") + 1)
+    kept = day_counts.DayCounts(spark, scratch_path(spark, "days"))
+    for rows, wanted in ((early.unionByName(wrong), day <= 15), (fact, day > 15), (fact, (day >= 3) & (day <= 15)), (fact, day == 9)):
+        kept.update(rows, rows.where(wanted).select("EVENT_DATE").distinct())
+    return kept
+
+
+@query
+def previous_week_batches(spark, sf_dir):
+    return comparable(weekly.with_previous_week(_kept_days(spark, sf_dir).weekly_sales()))
+
+
+@query
+def feature_matrix_batches(spark, sf_dir):
+    return comparable(_kept_days(spark, sf_dir).feature_matrix())
+
+
 @query
 def time_split(spark, sf_dir):
     split = weekly.time_split(weekly.feature_matrix(_weeks(spark, sf_dir)))

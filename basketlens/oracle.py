@@ -597,6 +597,8 @@ SELECT YEAR, WEEK_NUMBER_CYCLE, WEEK_NUMBER, count(*) AS N FROM sale_weeks GROUP
 SELECT PRODUCT_ID, WEEK_NUMBER, DAYS_PURCHASED, round(AVG_PRICE + 1e-7, 4) AS AVG_PRICE,
   round(SALES + 1e-7, 4) AS SALES, PREVIOUS_WEEK_NUMBER FROM sale_weekly""",
     "previous_week_join": _demand_out(_demand("fact_weekly", "LEFT")),
+    "previous_week_batches": _demand_out(_demand("fact_weekly", "LEFT")),
+    "feature_matrix_batches": _features_out(),
     "weekly_demand": _demand_out("SELECT * FROM sale_demand"),
     "weekly_demand_undated": _demand_out(_demand("undated_weekly", "INNER")),
     "weekly_demand_by_cycle": _demand_out(

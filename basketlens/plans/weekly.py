@@ -87,6 +87,11 @@ def weekly_sales(events: DataFrame, by_cycle: bool = False) -> DataFrame:
         F.avg("PRICE").alias("AVG_PRICE"),
         *[F.max(c).alias(c) for c in week],
     )
+    return sales_of_days(daily, week)
+
+
+def sales_of_days(daily: DataFrame, week: Sequence[str]) -> DataFrame:
+    """``weekly_sales`` from one row per product and day: SALES, AVG_PRICE and the columns of the week."""
     weekly = daily.repartition("PRODUCT_ID").groupBy("PRODUCT_ID", *week).agg(
         F.count("EVENT_DATE").alias("DAYS_PURCHASED"),
         F.avg("AVG_PRICE").alias("AVG_PRICE"),
@@ -209,7 +214,12 @@ def raw_features(events: DataFrame, products: Products = None) -> DataFrame:
     One aggregate and one shuffle by product feed all nine rolling sums: each kind rolls
     over its own weeks by making "it happened" part of the window key.
     """
-    weekly = weekly_counts(events, products).repartition("PRODUCT_ID")
+    return features_of_weeks(weekly_counts(events, products))
+
+
+def features_of_weeks(weekly: DataFrame) -> DataFrame:
+    """``raw_features`` from the rows of ``weekly_counts``."""
+    weekly = weekly.repartition("PRODUCT_ID")
     for count, stem in PERSPECTIVES.values():
         weekly = weekly.withColumns(_rolling(count, stem))
     ratios = {
