@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.operators.ordering import as_of
-from basketlens.plans import rfm, segments
+from basketlens.plans import day_counts, rfm, segments, weekly
 from basketlens.session import make_folder
 from basketlens.sources import landing
 
@@ -120,3 +120,19 @@ def test_as_of_against_plain_search(spark):
     nothing = spark.createDataFrame([], "k string, u timestamp, v int")
     empty = as_of(spark.createDataFrame(left, "id int, k string, t timestamp"), nothing, ["k"], "t", "u", ["v"], cut=lambda t: F.date_trunc("day", t))
     assert empty.where("v is null").count() == len(left)
+
+
+def test_day_counts_follow_every_change(spark, tmp_path):
+    frame = lambda rows: spark.createDataFrame(rows, FACT_DDL)
+    first = events(range(1, 20), n=8) + [(datetime(2024, 1, 2), None, "purchase", "1", 5.0, "z", "undated")]
+    kept = day_counts.DayCounts(spark, str(tmp_path / "days"))
+    assert kept.weekly_sales().collect() == [] and kept.feature_matrix().collect() == []
+    kept.update(frame(first), dates(frame(first)))
+    second = [r for r in first if r[1] not in ("2024-01-02", "2024-01-03")] + events([2, 20], seed=2)
+    touched = spark.createDataFrame([("2024-01-02",), ("2024-01-03",), ("2024-01-20",)], "EVENT_DATE string")
+    kept.update(frame(second), touched)
+    fact = weekly.with_weeks(frame(second))
+    shown = lambda df: sorted(map(repr, df.select(*[F.round(c, 6) if t == "double" else c for c, t in df.dtypes]).collect()))
+    assert shown(kept.weekly_sales()) == shown(weekly.weekly_sales(fact))
+    assert shown(kept.weekly_demand(by_cycle=True)) == shown(weekly.weekly_demand(fact, by_cycle=True))
+    assert shown(kept.feature_matrix()) == shown(weekly.feature_matrix(fact))
