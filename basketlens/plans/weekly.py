@@ -247,6 +247,11 @@ def last_week(features: DataFrame) -> Column:
     return features.agg(F.max(F.struct(*WEEK))).scalar()
 
 
+def days_seen(events: DataFrame) -> DataFrame:
+    """Per week the number of dates with an event of any kind: below 7 if the events start or end inside the week."""
+    return events.select(*WEEK, "EVENT_DATE").distinct().groupBy(*WEEK).agg(F.count("EVENT_DATE").alias("DAYS_SEEN"))
+
+
 def time_split(
     features: DataFrame,
     train_weeks: Sequence[int] | None = (4, 3, 2, 1),

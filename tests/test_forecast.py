@@ -1,6 +1,10 @@
+import random
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
+from basketlens.catalog import QUERIES
 from basketlens.plans import forecast, weekly
 
 TREES = {"maxIter": [2], "numTrees": [2], "maxDepth": [2]}
@@ -84,3 +88,20 @@ def test_prediction_table_replaces_the_predicted_week(spark, features):
     past = table.where("SALES_PREDICTION_RF is null")
     assert past.where("ELASTICITY is not null or SALES_PREDICTION_XG is not null").isEmpty()
     assert past.agg(F.max("WEEK_NUMBER")).first()[0] < predicted["3"]["WEEK_NUMBER"]
+
+
+def test_whole_weeks_are_not_judged_on_two_days(spark, tmp_path):
+    """Four weeks and two days of sales without a trend: noise alone makes last week's forecast the worse one."""
+    draw, rows = random.Random(5), []
+    for product in range(20):
+        for week in range(5):
+            noise = draw.uniform(0.7, 1.3)
+            for day in range(7 if week < 4 else 2):
+                sold = round(8 * noise) if week < 4 else 8
+                time = datetime(2024, 1, 1, 12) + timedelta(days=7 * week + day)
+                rows += [(time, "purchase", f'{{"k": {product}}}')] * sold
+    events = spark.createDataFrame(rows, "ts timestamp_ntz, event_type string, props string")
+    ids = {"event_id": F.monotonically_increasing_id() * 53 + 1, "user_id": F.lit(1).cast("long"), "value": F.lit(2.0)}
+    events.coalesce(1).withColumns(ids).write.parquet(f"{tmp_path}/events.parquet")
+    (row,) = QUERIES["forecast_rmse_fixed"](spark, str(tmp_path)).collect()
+    assert tuple(row) == (2, True)
