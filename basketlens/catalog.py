@@ -945,7 +945,7 @@ def catalog_tables(spark, sf_dir):
     path = scratch_path(spark, "catalog")
     database = f"sinks_{path.rsplit('-', 1)[1]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{path}/db'")
-    log = testdata.behaviour_log(spark, sf_dir)
+    log = stored(testdata.behaviour_log(spark, sf_dir), "log")
     for _ in range(2):
         writers.create_or_append_table(log, f"{database}.audit")
     for batch in (1, 2):

@@ -55,8 +55,14 @@ def behaviour_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def behaviour_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The behaviour log with category and brand of each product."""
-    joined = _events(spark, sf_dir).join(_product_columns(spark, sf_dir), "k", "left")
+    """The behaviour log with category and brand of each product.
+
+    Products without an event are left out before the join, so that what Spark may broadcast
+    grows with the products in use and not with the catalogue.
+    """
+    events = _events(spark, sf_dir)
+    products = _product_columns(spark, sf_dir).join(events.select("k").distinct(), "k", "left_semi")
+    joined = events.join(products, "k", "left")
     return joined.withColumn("PRODUCT_ID", F.col("k").cast("string")).select(
         "EVENT_TIME", "EVENT_TYPE", "PRODUCT_ID", "CATEGORY_ID", "CATEGORY_CODE", "BRAND",
         "PRICE", "USER_ID", "USER_SESSION", "BATCHNUMBER", "event_id",

@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from basketlens import schemas
 from basketlens.operators import merge, quality
-from basketlens.sources import readers, writers
+from basketlens.sources import readers, testdata, writers
+from tests.conftest import SF_DIR
 
 STAMP = {"data_date": "20200101", "run_ts": "2020-01-02 03:04:05"}
 
@@ -317,3 +318,21 @@ def test_scratch_folder_follows_the_session(spark, monkeypatch):
     Fake.conf = Conf({"spark.master": "spark://x"})
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Fake, "n")
+
+
+def test_behaviour_log_sends_only_products_in_use_to_the_driver(spark):
+    log = testdata.behaviour_log(spark, SF_DIR)
+    used = log.agg(F.count_distinct("PRODUCT_ID")).first()[0]
+    assert used < testdata.table(spark, SF_DIR, "part").count()
+    log.collect()
+
+    def sent(node):
+        kind = node.getClass().getSimpleName()
+        if kind.endswith("QueryStageExec"):
+            return sent(node.plan())
+        own = [node.metrics().apply("numOutputRows").value()] if kind == "BroadcastExchangeExec" else []
+        below = node.children()
+        return own + [n for i in range(below.size()) for n in sent(below.apply(i))]
+
+    rows = sent(log._jdf.queryExecution().executedPlan().executedPlan())
+    assert rows and max(rows) <= used
