@@ -264,12 +264,18 @@ def _kept_segments(spark, sf_dir) -> segments.Segments:
     pair = (F.col("USER_ID").cast("long") / 2).cast("long")
     fact = fact.withColumn("USER_SESSION", F.concat_ws("-", pair, F.dayofmonth("EVENT_DATETIME") % 8))
     day, product = F.dayofmonth("EVENT_DATETIME"), F.col("PRODUCT_ID").cast("long")
-    early = fact.where((day <= 15) & ((product % 7 != 3) | (day < 3)))
-    other = F.concat("USER_ID", F.lit("x"))
-    wrong = fact.where((day == 9) & (product % 5 == 0)).withColumns({"USER_ID": other, "PRICE": F.col("PRICE") + 1})
+    early, wrong = (day <= 15) & ((product % 7 != 3) | (day < 3)), (day == 9) & (product % 5 == 0)
+    copies = F.array_compact(F.array(F.when(early, F.lit("right")), F.when(wrong, F.lit("wrong"))))  # one scan gives both
+    other, is_wrong = F.concat("USER_ID", F.lit("x")), F.col("copy") == "wrong"
+    first = fact.withColumn("copy", F.explode(copies)).withColumns(
+        {
+            "USER_ID": F.when(is_wrong, other).otherwise(F.col("USER_ID")),
+            "PRICE": F.when(is_wrong, F.col("PRICE") + 1).otherwise(F.col("PRICE")),
+        }
+    ).drop("copy")
     kept = segments.Segments(spark, scratch_path(spark, "segments"), buckets=8)
-    for rows, wanted in ((early.unionByName(wrong), day <= 15), (fact, day >= 3), (fact, (day > 9) & (day < 20))):
-        kept.update(rows, rows.where(wanted).select("EVENT_DATE").distinct())
+    for rows, wanted in ((first, day <= 15), (fact, day >= 3), (fact, (day > 9) & (day < 20))):
+        kept.update(rows, fact.where(wanted).select("EVENT_DATE").distinct())
     return kept
 
 

@@ -58,6 +58,12 @@ def _within(rows: DataFrame, found: DataFrame, column: str, how: str = "left_sem
     return rows.alias("l").join(found.alias("r"), F.col(f"l.{column}").eqNullSafe(F.col(f"r.{column}")), how)
 
 
+def _differing(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows that occur on one side only, or not equally often on both; NULLs equal. One pass over either side."""
+    sides = old.withColumn("__side", F.lit(-1)).unionByName(new.withColumn("__side", F.lit(1)))
+    return sides.groupBy(*old.columns).agg(F.sum("__side").alias("__more")).where("__more <> 0").drop("__more")
+
+
 def _values() -> Column:
     """The three metrics of a user. Recency grows as the day of the last order falls, whatever the study date."""
     values = {
@@ -135,8 +141,7 @@ class Segments:
         days = self.table("days").where("N > 0")
         old = touched_partitions(days, touched, ["DAY"])
         others = _within(days, touched, "DAY", "left_anti")
-        differs = old.exceptAll(new).union(new.exceptAll(old))
-        sessions = self._pending("sessions", differs.select("USER_SESSION").distinct())
+        sessions = self._pending("sessions", _differing(old, new).select("USER_SESSION").distinct())
         rest = self._pending("rest", _within(others, sessions, "USER_SESSION"))
         before = _baskets(rest.unionByName(_within(old, sessions, "USER_SESSION")))
         after = _baskets(rest.unionByName(_within(new, sessions, "USER_SESSION")))

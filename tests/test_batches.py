@@ -136,3 +136,13 @@ def test_day_counts_follow_every_change(spark, tmp_path):
     assert shown(kept.weekly_sales()) == shown(weekly.weekly_sales(fact))
     assert shown(kept.weekly_demand(by_cycle=True)) == shown(weekly.weekly_demand(fact, by_cycle=True))
     assert shown(kept.feature_matrix()) == shown(weekly.feature_matrix(fact))
+
+
+def test_changed_days_are_found_in_one_shuffle(spark):
+    ddl = "s string, u string, n long, d decimal(38,6)"
+    old = [("a", None, 1, None), (None, "x", 2, None), ("b", "y", 3, None), ("c", "z", 4, None)]
+    new = [("a", None, 1, None), (None, "x", 2, None), ("b", "y", 5, None), (None, None, 6, None)]
+    found = segments._differing(spark.createDataFrame(old, ddl), spark.createDataFrame(new, ddl))
+    assert found.columns == ["s", "u", "n", "d"]
+    assert sorted(r["n"] for r in found.collect()) == [3, 4, 5, 6]
+    assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
